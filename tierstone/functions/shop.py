@@ -55,8 +55,12 @@ def page_of(url: Column) -> Column:
 
 
 def item_of(url: Column) -> Column:
-    """Trailing number of a URL, or NULL. `try_cast`: no match yields '', which ANSI rejects."""
-    return F.regexp_extract(url, ITEM_PATTERN, 1).try_cast("bigint")
+    """Trailing number of a URL; NULL where there is none or it exceeds a BIGINT.
+
+    No match yields '', turned to NULL before the cast: a failing cast costs an
+    exception per row inside the JVM.
+    """
+    return F.nullif(F.regexp_extract(url, ITEM_PATTERN, 1), F.lit("")).try_cast("bigint")
 
 
 def line_total(quantity: Column, unit_price: Column) -> Column:

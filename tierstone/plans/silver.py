@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tierstone.contracts import CONTRACTS, PRICE
 from tierstone.functions import shop
 from tierstone.operators.lookup import lookup
+from tierstone.operators.once import with_once
 
 
 def users(bronze_users: DataFrame) -> DataFrame:
@@ -61,14 +62,10 @@ def purchases_enriched(
 
 def item_views(bronze_pageviews: DataFrame) -> DataFrame:
     """Page views whose URL ends in an item number."""
-    parsed = bronze_pageviews.select(
-        "user_id",
-        shop.item_of(F.col("url")).alias("item_id"),
-        shop.page_of(F.col("url")).alias("page"),
-        "channel",
-        "received_at",
+    numbered = with_once(bronze_pageviews, "item_id", shop.item_of(F.col("url")))
+    return numbered.where(F.col("item_id").isNotNull()).select(
+        "user_id", "item_id", shop.page_of(F.col("url")).alias("page"), "channel", "received_at"
     )
-    return parsed.where(F.col("item_id").isNotNull())
 
 
 def pageviews_by_items(

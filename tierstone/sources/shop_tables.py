@@ -6,10 +6,20 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tierstone.operators.once import with_once
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A test table. Its schema is read from the files once per process, not per query."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _days_after(start: str, days: Column) -> Column:
@@ -48,9 +58,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("bigint")
-    )
+    events = table(spark, sf_dir, "events")
+    return with_once(events, "k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
