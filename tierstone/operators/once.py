@@ -13,5 +13,6 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     expression copied into it, so a regular expression or JSON path runs once
     more for every predicate. Exploding a one-element array keeps such filters
     above it, stays in generated code, and lets filters on other columns pass.
+    For columns every reader needs only: an unused one is still computed.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))

@@ -125,7 +125,7 @@ def count_parity(one: dict[str, DataFrame], other: dict[str, DataFrame]) -> Data
     """Rows of the same tables along two read paths, and whether they agree."""
     left = row_counts(one).withColumnRenamed("n", "n_one")
     right = row_counts(other).withColumnRenamed("n", "n_other")
-    return left.join(right, "t", "left").select(
+    return left.join(right, "t", "full").select(
         "t", "n_one", "n_other", F.equal_null("n_one", "n_other").alias("agrees")
     )
 

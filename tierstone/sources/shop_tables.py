@@ -57,20 +57,19 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return with_once(events, "k", F.get_json_object("props", "$.k").cast("bigint"))
+def _k() -> Column:
+    return F.get_json_object("props", "$.k").cast("bigint")
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     moment = F.col("ts").cast("timestamp")
     return (
-        _events(spark, sf_dir)
+        table(spark, sf_dir, "events")
         .where(F.col("event_type") == "purchase")
         .select(
             F.col("event_id").alias("id"),
             "user_id",
-            F.col("k").alias("item_id"),
+            _k().alias("item_id"),
             (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
             F.col("value").cast("decimal(12,2)").alias("purchase_price"),
             moment.alias("created_at"),
@@ -110,7 +109,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("/products/"), k * 2))
     )
     return (
-        _events(spark, sf_dir)
+        with_once(table(spark, sf_dir, "events"), "k", _k())
         .where(kind != "purchase")
         .select(
             ((F.col("event_id") * 7919 + k * 31) % viewers).alias("user_id"),
