@@ -309,6 +309,11 @@ _SELECTS = {
     "full_refresh": " UNION ALL ".join(
         f"SELECT '{name}' AS t, count(*) AS n FROM {relation}" for name, relation in _COUNTS.items()
     ),
+    "serving_top_sellers": "SELECT item_name, item_category, total_revenue FROM top_items",
+    "serving_hours": _LAST_DAY_HOURS,
+    "serving_channels": """
+        SELECT channel, count(*) AS total_pageviews FROM item_views GROUP BY channel""",
+    "serving_row_count": "SELECT count(*) AS row_count FROM performance",
     "count_parity": _PARITY,
     "hourly_exact": """
         SELECT date_trunc('hour', created_at) AS purchase_hour_start,

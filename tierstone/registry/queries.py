@@ -392,6 +392,37 @@ def full_refresh(spark, sf_dir):
     return listed.join(counts, "t")
 
 
+def _served(spark, name: str, rows: DataFrame, text: str) -> DataFrame:
+    """SQL over a stored table, named `{table}` in the text."""
+    store = scratch_store(spark).create(name)
+    store.overwrite(rows, name)
+    return reports.run_sql(spark, text.format(table=store.table(name)))
+
+
+@query
+def serving_top_sellers(spark, sf_dir):
+    text = "SELECT item_name, item_category, total_revenue FROM {table} ORDER BY total_revenue DESC"
+    return _served(spark, "gold.top_selling_items", top_selling_items(spark, sf_dir), text)
+
+
+@query
+def serving_hours(spark, sf_dir):
+    text = "SELECT purchase_hour, total_revenue FROM {table} ORDER BY purchase_hour"
+    return _served(spark, "gold.sales_performance_24h", sales_performance_24h(spark, sf_dir), text)
+
+
+@query
+def serving_channels(spark, sf_dir):
+    text = "SELECT channel, total_pageviews FROM {table} ORDER BY total_pageviews DESC, channel"
+    return _served(spark, "gold.pageviews_by_channel", pageviews_by_channel(spark, sf_dir), text)
+
+
+@query
+def serving_row_count(spark, sf_dir):
+    text = "SELECT count(*) AS row_count FROM {table}"
+    return _served(spark, "gold.item_performance", item_performance(spark, sf_dir), text)
+
+
 @query
 def count_parity(spark, sf_dir):
     """Stored tables counted through the catalog and through their plans."""
