@@ -122,9 +122,9 @@ def test_insert_values_read_back_drop(spark, store):
     store.create("bronze.users")
     target = f"{store.namespace('bronze')}.notes"
     spark.sql(f"CREATE TABLE {target} (id BIGINT, msg STRING) USING parquet")
-    spark.sql(f"INSERT INTO {target} VALUES (1, 'hello'), (2, 'lakehouse')")
+    spark.sql(f"INSERT INTO {target} VALUES (1, 'hello'), (2, 'world')")
     assert [tuple(r) for r in spark.sql(f"SELECT * FROM {target} ORDER BY id").collect()] == [
-        (1, "hello"), (2, "lakehouse")]
+        (1, "hello"), (2, "world")]
     files = reports.rows_per_file(spark.table(target)).collect()
     assert sum(r["record_count"] for r in files) == 2
     assert all(store.root in r["file_path"] for r in files)

@@ -35,7 +35,7 @@ bulk_purchases AS (
   SELECT l_orderkey * 8 + l_linenumber AS id, o_custkey AS user_id, l_partkey AS item_id,
          l_linenumber AS quantity, CAST(l_extendedprice AS DECIMAL(12,2)) AS purchase_price,
          l_shipdate AS created_at, l_shipdate AS updated_at
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
 ),
 pageviews AS (
   SELECT (event_id * 7919 + k * 31) % (SELECT count(*) // 3 FROM customer) AS user_id,
@@ -305,7 +305,7 @@ _SELECTS = {
     "compaction": "SELECT * FROM pageviews",
     "insert_values_roundtrip": """
         SELECT id, name AS msg FROM items
-        UNION ALL SELECT -1, 'hello' UNION ALL SELECT -2, 'lakehouse'""",
+        UNION ALL SELECT -1, 'hello' UNION ALL SELECT -2, 'world'""",
     "full_refresh": " UNION ALL ".join(
         f"SELECT '{name}' AS t, count(*) AS n FROM {relation}" for name, relation in _COUNTS.items()
     ),

@@ -63,8 +63,8 @@ def bronze_pageviews(spark, sf_dir):
     return bronze.pageviews(shop_tables.clicks(spark, sf_dir))
 
 
-def bulk_purchases(spark, sf_dir):
-    return bronze.purchases(shop_tables.bulk_purchases(spark, sf_dir))
+def bulk_purchases(spark, sf_dir, buyers=True):
+    return bronze.purchases(shop_tables.bulk_purchases(spark, sf_dir, buyers))
 
 
 @query
@@ -122,7 +122,7 @@ def _sales(spark, sf_dir):
 
 
 def _bulk_sales(spark, sf_dir):
-    return silver.priced(bulk_purchases(spark, sf_dir))
+    return silver.priced(bulk_purchases(spark, sf_dir, buyers=False))
 
 
 def _views(spark, sf_dir):
@@ -349,7 +349,7 @@ def insert_values_roundtrip(spark, sf_dir):
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"CREATE TABLE {target} (id BIGINT, msg STRING) USING parquet")
     bronze_items(spark, sf_dir).select("id", F.col("name").alias("msg")).write.insertInto(target)
-    spark.sql(f"INSERT INTO {target} VALUES (-1, 'hello'), (-2, 'lakehouse')")
+    spark.sql(f"INSERT INTO {target} VALUES (-1, 'hello'), (-2, 'world')")
     return spark.sql(f"SELECT * FROM {target} ORDER BY id")
 
 

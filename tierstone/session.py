@@ -6,12 +6,18 @@ from pyspark.sql import SparkSession
 
 # Settings that may be changed on a running session. Broadcast thresholds are
 # left at Spark's own default: no plan here asks for a broadcast by hint, so a
-# dimension is broadcast only when its measured size is under that threshold.
+# dimension is broadcast only when its size is under that threshold.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
+    # Files are compressed: count their rows at three times the file size when
+    # judging whether a dimension is small enough to broadcast.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    # Merge small shuffle partitions up to the advisory size, not merely down to
+    # the number of cores: a large cluster would write thousands of tiny files.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     # Hot join keys are split at run time, also where the split costs one more
     # exchange: a third of the rows in one task costs far more.
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -78,14 +78,23 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bulk_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as purchases: many more of them, but all dated at midnight."""
+def bulk_purchases(spark: SparkSession, sf_dir: str, buyers: bool = True) -> DataFrame:
+    """Order lines as purchases: many more of them, but all dated at midnight.
+
+    The buyer is on the order. Tables that do not ask who bought leave it out
+    (`buyers=False`), which spares the join of the two largest inputs; a line
+    without an order stays either way.
+    """
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
+    buyer = F.lit(None).cast("bigint")
+    if buyers:
+        orders = table(spark, sf_dir, "orders")
+        lines = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left")
+        buyer = F.col("o_custkey")
     moment = F.col("l_shipdate").cast("timestamp")
-    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).select(
+    return lines.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-        F.col("o_custkey").alias("user_id"),
+        buyer.alias("user_id"),
         F.col("l_partkey").alias("item_id"),
         F.col("l_linenumber").alias("quantity"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("purchase_price"),
