@@ -39,6 +39,24 @@ def test_a_load_without_log_entry_is_not_read(spark, tmp_path):
     assert loads.as_of(datetime(2024, 6, 1)).count() == 5
 
 
+def test_a_complete_load_is_not_replaced(spark, tmp_path):
+    loads = history.LoadHistory(spark, str(tmp_path / "h"))
+    loads.add(spark.range(3), 1, datetime(2024, 1, 1))
+    with pytest.raises(ValueError, match="already complete"):
+        loads.add(spark.range(4), 1, datetime(2024, 1, 2))
+    assert loads.as_of(datetime(2024, 6, 1)).count() == 3
+
+
+def test_increment_updates_adds_and_keeps(spark, tmp_path):
+    schema = "id long, stamp long, v string"
+    loads = history.LoadHistory(spark, str(tmp_path / "h"))
+    loads.add(spark.createDataFrame([(1, 5, "a"), (2, 5, "b")], schema), 1, datetime(2024, 1, 1))
+    changed = spark.createDataFrame([(2, 6, "b2"), (1, 4, "stale"), (3, 1, "new")], schema)
+    assert loads.add_increment(changed, ["id"], ["stamp"], 2, datetime(2024, 1, 2)) == 3
+    assert rows_of(loads.as_of(datetime(2024, 1, 2))) == [(1, 5, "a"), (2, 6, "b2"), (3, 1, "new")]
+    assert rows_of(loads.version(1)) == [(1, 5, "a"), (2, 5, "b")]
+
+
 # --- changed columns, small files
 
 

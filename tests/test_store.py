@@ -1,5 +1,5 @@
 import glob
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierstone.contracts import CONTRACTS
+from tierstone.functions import clock
 from tierstone.plans import gold, refresh, reports, silver
 from tierstone.sinks.csv import export_csv, read_export
 from tierstone.sinks.store import LayerStore, create_statement
@@ -85,11 +86,16 @@ def test_days_outside_the_bounds_are_not_opened(store, shop):
 
 def test_pruning_follows_the_running_clock(store, shop):
     store.create("silver.purchases_enriched")
-    from tierstone.functions import clock
-
+    now = datetime.now()
+    sales = shop.purchases((1, 1, 1, 1, "1.00", now), (2, 1, 1, 1, "2.00", now - timedelta(days=9)))
+    enriched = silver.purchases_enriched(sales, shop.users(), shop.items())
+    store.overwrite(enriched, "silver.purchases_enriched")
     recent = store.read("silver.purchases_enriched", since=clock.hours_before(24))
-    plan = final_plan(recent)
-    assert "(part_created_at#" in plan.split("PartitionFilters:")[1] or "LocalTableScan" in plan
+    assert [r["total_revenue"] for r in gold.sales_performance_24h(recent).collect()] == [Decimal("1.00")]
+    filters = final_plan(recent).split("PartitionFilters:")[1].split("PushedFilters")[0]
+    # The clock is a constant by the time folders are listed.
+    day = (now - timedelta(hours=24)).date().isoformat()
+    assert f">= {day})" in filters
 
 
 def test_a_heavy_day_is_written_by_several_tasks(spark, store, settings):

@@ -7,12 +7,16 @@ load that died halfway is never read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierstone.operators.latest import upsert
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("load_id", T.LongType()),
@@ -34,7 +38,10 @@ class LoadHistory:
         return f"{self.path}/load_id={load_id}"
 
     def add(self, df: DataFrame, load_id: int, loaded_at: datetime) -> int:
-        """Store one load. Repeating a load that failed replaces its files."""
+        """Store one load. Repeating a load that failed replaces its files; a load
+        that succeeded is history and is not touched."""
+        if self._is_logged(load_id):
+            raise ValueError(f"load {load_id} is already complete")
         df.write.mode("overwrite").parquet(self._load_path(load_id))
         rows = self.spark.read.parquet(self._load_path(load_id)).count()
         entry = self.spark.range(1).select(
@@ -46,6 +53,26 @@ class LoadHistory:
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
         return rows
 
+    def add_increment(
+        self,
+        changed: DataFrame,
+        keys: Sequence[str],
+        newest_by: Sequence[str],
+        load_id: int,
+        loaded_at: datetime,
+    ) -> int:
+        """Store the current state with changed rows applied, instead of reloading
+        everything from the source. The state read stays as it is, so a failed
+        attempt can be repeated."""
+        current = self.as_of(loaded_at)
+        return self.add(upsert(current, changed, keys, newest_by), load_id, loaded_at)
+
+    def _is_logged(self, load_id: int) -> bool:
+        try:
+            return not self.log().where(F.col("load_id") == load_id).isEmpty()
+        except AnalysisException:  # no log yet
+            return False
+
     def log(self) -> DataFrame:
         """Commit time, number, operation and size of every load."""
         return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/_log")

@@ -336,6 +336,7 @@ _SELECTS = {
         ]
     ),
     "latest_per_key": "SELECT * FROM repriced",
+    "incremental_load": "SELECT * FROM repriced",
     "as_of_load": "SELECT * FROM items",
     "load_log": """
         SELECT CAST(1 AS BIGINT) AS load_id, TIMESTAMP '2024-01-01' AS loaded_at,

@@ -483,6 +483,17 @@ def latest_per_key(spark, sf_dir):
     return upsert(first, _repriced(first).unionByName(first), ["id"], ["updated_at"])
 
 
+@query
+def incremental_load(spark, sf_dir):
+    """A stored load of items with the later delivery applied as an increment."""
+    loads = history.LoadHistory(spark, os.path.join(new_folder(spark, "history"), "items"))
+    first = bronze_items(spark, sf_dir)
+    loads.add(first, 1, datetime(2024, 1, 1))
+    changed = _repriced(first).unionByName(first)
+    loads.add_increment(changed, ["id"], ["updated_at"], 2, datetime(2024, 1, 2))
+    return loads.as_of(datetime(2024, 1, 3))
+
+
 def _item_history(spark, sf_dir):
     loads = history.LoadHistory(spark, os.path.join(new_folder(spark, "history"), "items"))
     first = bronze_items(spark, sf_dir)

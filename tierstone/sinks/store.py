@@ -55,19 +55,24 @@ class LayerStore:
     def drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}")
 
-    def overwrite(self, df: DataFrame, name: str) -> int:
+    def overwrite(self, df: DataFrame, name: str, regroup: bool = True) -> int:
         """Replace the whole table; returns the rows now stored.
 
         Rows are regrouped by folder value before writing, which keeps one task
         from opening a file in every folder; a folder with far more rows than
-        others is split over several tasks. The plan runs once: the count reads
-        the footers of what was stored, and so also holds when tasks were retried.
+        others is split over several tasks. `regroup=False` spares that shuffle
+        where the rows of a task fall into few folders anyway.
+
+        The plan runs once: the count reads the footers of what was stored, and
+        so also holds when tasks were retried.
         """
         contract = CONTRACTS[name]
         rows = conform(df, contract)
         part = contract.partitioning
         if part:
-            rows = rows.withColumn(part.column, part.expression()).hint("rebalance", part.column)
+            rows = rows.withColumn(part.column, part.expression())
+            if regroup:
+                rows = rows.hint("rebalance", part.column)
         rows.write.insertInto(self.table(name), overwrite=True)
         return self.stored_rows(name)
 
