@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierstone.operators.once import with_once
 
-
 _SCHEMAS: dict[str, StructType] = {}
 
 
@@ -22,59 +21,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def _days_after(start: str, days: Column) -> Column:
-    """Midnight `days` after a date."""
-    return F.date_add(F.lit(start).cast("date"), days.cast("int")).cast("timestamp")
+def _days_after(start: str, days: str) -> str:
+    """SQL for midnight, a number of days after a date."""
+    return f"CAST(date_add(DATE'{start}', CAST({days} AS INT)) AS TIMESTAMP)"
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    email = (
-        F.when(key % 10 == 0, F.lit(None).cast("string"))
-        .when(key % 10 == 1, F.concat(F.lit("bad-"), key))
-        .otherwise(F.concat(F.lit("u"), key, F.lit("@example.com")))
-    )
-    return table(spark, sf_dir, "customer").select(
-        key.alias("id"),
-        F.col("c_mktsegment").alias("first_name"),
-        F.substring("c_name", 10, 9).alias("last_name"),
-        email.alias("email"),
-        _days_after("2023-01-01", key % 28).alias("created_at"),
-        _days_after("2023-02-01", key % 5).alias("updated_at"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        "c_mktsegment AS first_name",
+        "substring(c_name, 10, 9) AS last_name",
+        """CASE WHEN c_custkey % 10 = 0 THEN NULL
+                WHEN c_custkey % 10 = 1 THEN concat('bad-', c_custkey)
+                ELSE concat('u', c_custkey, '@example.com') END AS email""",
+        _days_after("2023-01-01", "c_custkey % 28") + " AS created_at",
+        _days_after("2023-02-01", "c_custkey % 5") + " AS updated_at",
     )
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").select(
-        key.alias("id"),
-        F.col("p_name").alias("name"),
-        F.lower("p_type").alias("category"),
-        F.col("p_retailprice").cast("decimal(7,2)").alias("price"),
-        F.col("p_size").alias("inventory"),
-        _days_after("2023-01-01", key % 28).alias("created_at"),
-        _days_after("2023-02-01", key % 5).alias("updated_at"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id",
+        "p_name AS name",
+        "lower(p_type) AS category",
+        "CAST(p_retailprice AS DECIMAL(7,2)) AS price",
+        "p_size AS inventory",
+        _days_after("2023-01-01", "p_partkey % 28") + " AS created_at",
+        _days_after("2023-02-01", "p_partkey % 5") + " AS updated_at",
     )
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
-
-
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    moment = F.col("ts").cast("timestamp")
-    return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "purchase")
-        .select(
-            F.col("event_id").alias("id"),
-            "user_id",
-            _k().alias("item_id"),
-            (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
-            F.col("value").cast("decimal(12,2)").alias("purchase_price"),
-            moment.alias("created_at"),
-            moment.alias("updated_at"),
-        )
+    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    return bought.selectExpr(
+        "event_id AS id",
+        "user_id",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS item_id",
+        "CAST(event_id % 5 + 1 AS INT) AS quantity",
+        "CAST(value AS DECIMAL(12,2)) AS purchase_price",
+        "CAST(ts AS TIMESTAMP) AS created_at",
+        "CAST(ts AS TIMESTAMP) AS updated_at",
     )
 
 
@@ -86,20 +72,17 @@ def bulk_purchases(spark: SparkSession, sf_dir: str, buyers: bool = True) -> Dat
     without an order stays either way.
     """
     lines = table(spark, sf_dir, "lineitem")
-    buyer = F.lit(None).cast("bigint")
     if buyers:
         orders = table(spark, sf_dir, "orders")
         lines = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "left")
-        buyer = F.col("o_custkey")
-    moment = F.col("l_shipdate").cast("timestamp")
-    return lines.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
-        buyer.alias("user_id"),
-        F.col("l_partkey").alias("item_id"),
-        F.col("l_linenumber").alias("quantity"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("purchase_price"),
-        moment.alias("created_at"),
-        moment.alias("updated_at"),
+    return lines.selectExpr(
+        "l_orderkey * 8 + l_linenumber AS id",
+        "o_custkey AS user_id" if buyers else "CAST(NULL AS BIGINT) AS user_id",
+        "l_partkey AS item_id",
+        "l_linenumber AS quantity",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) AS purchase_price",
+        "CAST(l_shipdate AS TIMESTAMP) AS created_at",
+        "CAST(l_shipdate AS TIMESTAMP) AS updated_at",
     )
 
 
@@ -108,24 +91,18 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Viewers are a third of the customers; their number is a scalar subquery.
     """
-    customers = table(spark, sf_dir, "customer")
-    viewers = customers.select(F.expr("count(*) div 3")).scalar()
-    k = F.col("k")
-    kind = F.col("event_type")
-    url = (
-        F.when(kind == "error", F.lit("/about"))
-        .when(kind == "signup", F.concat(F.lit("/cart/"), k))
-        .otherwise(F.concat(F.lit("/products/"), k * 2))
-    )
-    return (
-        with_once(table(spark, sf_dir, "events"), "k", _k())
-        .where(kind != "purchase")
-        .select(
-            ((F.col("event_id") * 7919 + k * 31) % viewers).alias("user_id"),
-            url.alias("url"),
-            kind.alias("channel"),
-            F.col("ts").cast("timestamp").alias("received_at"),
-        )
+    viewers = table(spark, sf_dir, "customer").selectExpr("count(*) DIV 3").scalar()
+    seen = table(spark, sf_dir, "events").where("event_type <> 'purchase'")
+    keyed = with_once(seen, "k", F.expr("CAST(get_json_object(props, '$.k') AS BIGINT)"))
+    return keyed.select(
+        (F.expr("event_id * 7919 + k * 31") % viewers).alias("user_id"),
+        F.expr(
+            """CASE event_type WHEN 'error' THEN '/about'
+                               WHEN 'signup' THEN concat('/cart/', k)
+                               ELSE concat('/products/', 2 * k) END AS url"""
+        ),
+        F.col("event_type").alias("channel"),
+        F.expr("CAST(ts AS TIMESTAMP) AS received_at"),
     )
 
 
