@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -14,25 +17,26 @@ _LOCAL_ROOT: list[str] = []
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Where the setting is absent a temporary folder serves, but only in local
-    mode: on a cluster other machines could not read it.
+    Where the setting is absent a temporary folder serves, but only where the
+    executors are threads of the driver: other machines could not read it.
     """
     named = spark.conf.get(SHARED_DIR_SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "local")):
         raise RuntimeError(f"set {SHARED_DIR_SETTING} to a folder shared by all executors")
     if not _LOCAL_ROOT:
         _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="tierstone-"))
+        atexit.register(shutil.rmtree, _LOCAL_ROOT[0], ignore_errors=True)
     return _LOCAL_ROOT[0]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Path of a folder nobody else uses; removed when the application ends."""
-    path = f"{shared_root(spark)}/tierstone-{label}-{uuid.uuid4().hex[:12]}"
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    file_system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    file_system.mkdirs(location)
-    file_system.deleteOnExit(location)
-    return path
+    """Path of a folder nobody else uses, below one folder per application.
+
+    Spark creates it with the first write. The temporary folder of local mode goes
+    with the process; on a cluster the application's folder is left to whatever
+    clears the shared folder, as checkpoint files are.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_root(spark)}/tierstone-{application}/{label}-{uuid.uuid4().hex[:12]}"
