@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tierstone.operators.rank import top_k
 
-TABLE_LIMIT = 100
+# Rows of a result that a display shows.
+SHOWN_ROWS = 100
 
 
 # --- on gold.item_performance ---------------------------------------------------
@@ -140,11 +141,22 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 # --- SQL text -----------------------------------------------------------------------
 
 
-def run_sql(spark: SparkSession, text: str, limit: int = TABLE_LIMIT, **views: DataFrame) -> DataFrame:
-    """Result of a SQL text, cut to `limit` rows; keyword arguments are bound as views."""
+def run_sql(
+    spark: SparkSession, text: str, bind: str | None = None, **views: DataFrame
+) -> DataFrame:
+    """The whole result of a SQL text. Keyword arguments are bound as views for it to
+    read; with `bind` the result is a view of that name for later texts."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text).limit(limit)
+    result = spark.sql(text)
+    if bind:
+        result.createOrReplaceTempView(bind)
+    return result
+
+
+def shown(result: DataFrame, rows: int = SHOWN_ROWS) -> DataFrame:
+    """What a display shows of a result: its first rows. Work goes on with the result."""
+    return result.limit(rows)
 
 
 def as_record(df: DataFrame) -> DataFrame:

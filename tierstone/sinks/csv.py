@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-SINGLE_FILE_ROWS = 1_000_000
 
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """Write CSV with a header line in every part; consumers take `*.csv`.
 
-def export_csv(df: DataFrame, path: str, rows: int, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Write CSV with a header line in every part.
-
-    `df` should be a stored table and `rows` its known size: up to
-    `single_file_rows` the result is one part file, written by one task. A
-    larger one stays in several parts, because a single task could not carry
-    it; consumers take `*.csv` in both cases.
+    `single_file` has one task write one part: for consumers that need it, and for
+    tables one task can carry. The layout is the caller's choice at every size.
     """
-    out = df.coalesce(1) if rows <= single_file_rows else df
+    out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", "true").csv(path)
 
 
