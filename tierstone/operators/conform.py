@@ -12,7 +12,7 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Select the declared columns in order, cast to the declared types.
 
     A value that does not fit becomes NULL instead of failing a load of many
-    terabytes on one bad row; the quality gates count such NULLs afterwards.
+    terabytes on one bad row; `quality.lost_values` counts them in the source.
     """
     have = {field.name: field.dataType for field in df.schema.fields}
     missing = [name for name in contract.columns if name not in have]

@@ -4,29 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NEWEST = "__newest"
 
 
+def has_key(keys: Sequence[str]) -> Column:
+    """Whether every part of the key is there."""
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    return whole
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest `newest_by`, then the greatest rest.
+    A row that lacks part of its key is nobody's older version: all such rows stay.
 
     An aggregate rather than a ranked window: rows of one key are reduced before
     the shuffle, so a key with a huge history never lands whole in one task.
     """
     rest = [name for name in df.columns if name not in {*keys, *newest_by}]
-    ranked = df.groupBy(*keys).agg(F.max(F.struct(*newest_by, *rest)).alias(_NEWEST))
-    return ranked.select(
+    keyed = df.where(has_key(keys)).groupBy(*keys)
+    ranked = keyed.agg(F.max(F.struct(*newest_by, *rest)).alias(_NEWEST))
+    newest = ranked.select(
         *(name if name in keys else F.col(f"{_NEWEST}.{name}").alias(name) for name in df.columns)
     )
+    return newest.unionByName(df.where(~has_key(keys)))
 
 
 def upsert(
     current: DataFrame, incoming: DataFrame, keys: Sequence[str], newest_by: Sequence[str]
 ) -> DataFrame:
-    """Current rows with newer incoming versions applied; on a tie incoming wins."""
+    """Current rows with newer incoming versions applied; on a tie incoming wins.
+
+    `current` has one row per key, as an upsert leaves it. Only the delivery, and the
+    current rows whose keys it names, are compared; the others pass by a join alone,
+    which is a broadcast where the delivery's keys are few. Rows without a whole key,
+    current or incoming, are all kept.
+    """
+    delivered = latest_per_key(incoming.where(has_key(keys)), keys, newest_by)
+    named = delivered.select(*keys)
     side = "__incoming"
-    both = current.withColumn(side, F.lit(0)).unionByName(incoming.withColumn(side, F.lit(1)))
-    return latest_per_key(both, keys, [*newest_by, side]).drop(side)
+    touched = current.join(named, list(keys), "left_semi").withColumn(side, F.lit(0))
+    compared = touched.unionByName(delivered.withColumn(side, F.lit(1)))
+    settled = latest_per_key(compared, keys, [*newest_by, side]).drop(side)
+    untouched = current.join(named, list(keys), "left_anti")
+    return untouched.unionByName(settled).unionByName(incoming.where(~has_key(keys)))

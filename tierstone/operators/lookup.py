@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ def lookup(
     dimension_key: str,
     take: dict[str, str],
     salts: int = 1,
-    hot_share: float = 0.01,
+    hot: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Add dimension columns to the facts; facts without a match keep NULLs.
 
@@ -23,13 +25,12 @@ def lookup(
     read from the dimension. A dimension under Spark's broadcast threshold costs
     no shuffle; a larger one is a sort-merge join whose hot keys AQE splits.
 
-    With `salts` > 1 the hot keys are spread before the shuffle instead: keys
-    that hold at least `hot_share` of the facts (found in one extra pass over
-    the key column, at most 1 / `hot_share` of them) are scattered over `salts`
-    partitions, and only their dimension rows are repeated. Facts without a key
-    have no partner and are scattered as well. The salt is a hash of the row, so
-    a retried task sends every row where it went before; identical rows stay
-    together and are left to AQE.
+    With `salts` > 1 the hot keys are spread before the shuffle instead: keys for
+    which `hot` holds (see `hot_keys`; by default those with a hundredth of these
+    facts) are scattered over `salts` partitions, and only their dimension rows are
+    repeated. Facts without a key have no partner and are scattered as well. The salt
+    is a hash of the row, so a retried task sends every row where it went before;
+    identical rows stay together and are left to AQE.
     """
     wanted = dimension.select(
         F.col(dimension_key).alias(_KEY),
@@ -39,7 +40,7 @@ def lookup(
         matched = facts.join(wanted, facts[fact_key] == wanted[_KEY], "left")
         return matched.drop(_KEY)
 
-    hot = _is_hot(facts, fact_key, hot_share)
+    hot = hot or hot_keys(facts, [fact_key])[fact_key]
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     salted_facts = facts.withColumn(
         _SALT, F.when(hot(F.col(fact_key)) | F.col(fact_key).isNull(), spread).otherwise(0)
@@ -55,16 +56,33 @@ def lookup(
     return matched.select(*facts.columns, *take.values())
 
 
-def _is_hot(facts: DataFrame, key: str, share: float):
-    """Predicate for keys holding at least `share` of the rows.
+def hot_keys(
+    facts: DataFrame, keys: Sequence[str], share: float = 0.01
+) -> dict[str, Callable[[Column], Column]]:
+    """For each key column a test for values that hold at least `share` of the facts.
 
-    `freqItems` keeps 1 / share counters per task and never misses a key above
-    the share; a key reported in error is merely salted without need.
+    One pass over the key columns of the facts, which should be the narrow source of
+    all lookups, before any join. Values are counted by partial sums per task, and at
+    most 1 / `share` of them per column survive, so no task merges more than it is sent
+    by the shuffle.
     """
-    frequent = facts.select(key).stat.freqItems([key], share)
+    pairs = F.array(
+        *(F.struct(F.lit(i).alias("at"), F.col(k).cast("string").alias("v")) for i, k in enumerate(keys))
+    )
+    counted = (
+        facts.select(F.explode(pairs).alias("pair"))
+        .groupBy("pair.at", "pair.v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # Every fact is counted once per key column.
+    total = facts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    frequent = counted.where((F.col("n") >= share * total) & F.col("v").isNotNull())
+
+    def test(position: int) -> Callable[[Column], Column]:
+        def is_hot(candidate: Column) -> Column:
+            values = frequent.agg(F.collect_set(F.when(F.col("at") == position, F.col("v")))).scalar()
+            return F.coalesce(F.array_contains(values, candidate.cast("string")), F.lit(False))
 
-    def test(candidate: Column) -> Column:
-        keys = frequent.select(F.col(f"{key}_freqItems")).scalar()
-        return F.coalesce(F.array_contains(keys, candidate), F.lit(False))
+        return is_hot
 
-    return test
+    return {key: test(i) for i, key in enumerate(keys)}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tierstone.contracts import CONTRACTS, PRICE
 from tierstone.functions import shop
-from tierstone.operators.lookup import lookup
+from tierstone.operators.lookup import hot_keys, lookup
 from tierstone.operators.once import with_once
 
 
@@ -52,11 +52,16 @@ def purchases_enriched(
     salts: int = 1,
 ) -> DataFrame:
     """Every purchase, labelled. Labels come from bronze, so categories keep their
-    source spelling here; purchases of unknown users or items stay, unlabelled."""
+    source spelling here; purchases of unknown users or items stay, unlabelled.
+
+    With `salts` > 1, hot users and hot items are found in one pass over the bronze
+    purchases, before either lookup."""
+    hot = hot_keys(bronze_purchases, ["user_id", "item_id"]) if salts > 1 else {}
     with_buyer = lookup(
-        priced(bronze_purchases), bronze_users, "user_id", "id", {"email": "user_email"}, salts
+        priced(bronze_purchases), bronze_users, "user_id", "id", {"email": "user_email"},
+        salts, hot.get("user_id"),
     )
-    labelled = _item_labels(with_buyer, bronze_items, salts)
+    labelled = _item_labels(with_buyer, bronze_items, salts, hot.get("item_id"))
     return labelled.select(*CONTRACTS["silver.purchases_enriched"].columns)
 
 
@@ -72,10 +77,12 @@ def pageviews_by_items(
     bronze_pageviews: DataFrame, bronze_items: DataFrame, salts: int = 1
 ) -> DataFrame:
     """Item page views, labelled from bronze items; views of unknown items stay."""
-    labelled = _item_labels(item_views(bronze_pageviews), bronze_items, salts)
+    views = item_views(bronze_pageviews)
+    hot = hot_keys(views, ["item_id"]) if salts > 1 else {}
+    labelled = _item_labels(views, bronze_items, salts, hot.get("item_id"))
     return labelled.select(*CONTRACTS["silver.pageviews_by_items"].columns)
 
 
-def _item_labels(facts: DataFrame, bronze_items: DataFrame, salts: int) -> DataFrame:
+def _item_labels(facts: DataFrame, bronze_items: DataFrame, salts: int, hot=None) -> DataFrame:
     labels = {"name": "item_name", "category": "item_category"}
-    return lookup(facts, bronze_items, "item_id", "id", labels, salts)
+    return lookup(facts, bronze_items, "item_id", "id", labels, salts, hot)
