@@ -37,7 +37,9 @@ class LoadHistory:
     def _load_path(self, load_id: int) -> str:
         return f"{self.path}/load_id={load_id}"
 
-    def add(self, df: DataFrame, load_id: int, loaded_at: datetime) -> int:
+    def add(
+        self, df: DataFrame, load_id: int, loaded_at: datetime, operation: str = "overwrite"
+    ) -> int:
         """Store one load. Repeating a load that failed replaces its files; a load
         that succeeded is history and is not touched."""
         if self._is_logged(load_id):
@@ -47,7 +49,7 @@ class LoadHistory:
         entry = self.spark.range(1).select(
             F.lit(load_id).cast("long").alias("load_id"),
             F.lit(loaded_at.isoformat(" ")).cast("timestamp").alias("loaded_at"),
-            F.lit("overwrite").alias("operation"),
+            F.lit(operation).alias("operation"),
             F.lit(rows).cast("long").alias("row_count"),
         )
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
@@ -65,13 +67,15 @@ class LoadHistory:
         everything from the source. The state read stays as it is, so a failed
         attempt can be repeated."""
         current = self.as_of(loaded_at)
-        return self.add(upsert(current, changed, keys, newest_by), load_id, loaded_at)
+        return self.add(upsert(current, changed, keys, newest_by), load_id, loaded_at, "upsert")
 
     def _is_logged(self, load_id: int) -> bool:
         try:
             return not self.log().where(F.col("load_id") == load_id).isEmpty()
-        except AnalysisException:  # no log yet
-            return False
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":  # no log yet
+                return False
+            raise
 
     def log(self) -> DataFrame:
         """Commit time, number, operation and size of every load."""

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.contracts import CONTRACTS, LAYERS, Contract
 from tierstone.operators.conform import conform
+from tierstone.operators.latest import upsert
+from tierstone.scratch import new_folder
 
 
 def create_statement(contract: Contract, target: str) -> str:
@@ -22,6 +26,11 @@ def create_statement(contract: Contract, target: str) -> str:
     )
 
 
+def _one_of(column: str, values: list) -> Column:
+    found = F.col(column).isin([v for v in values if v is not None])
+    return found | F.col(column).isNull() if None in values else found
+
+
 class LayerStore:
     """Reads and writes layer tables by their two-level name, such as `silver.users`.
 
@@ -42,40 +51,102 @@ class LayerStore:
         return f"{self.namespace(contract.layer)}.{contract.table}"
 
     def create(self, *names: str) -> LayerStore:
-        """Create namespaces and the named tables (all, if none is named), if absent."""
-        for layer in LAYERS:
-            where = f"{self.root}/{self.namespace(layer)}"
-            self.spark.sql(
-                f"CREATE DATABASE IF NOT EXISTS {self.namespace(layer)} LOCATION '{where}'"
-            )
+        """Create the named tables (all, if none is named) and their namespaces, if absent."""
+        wanted = {CONTRACTS[name].layer for name in names} or set(LAYERS)
+        for layer in (x for x in LAYERS if x in wanted):
+            self.create_namespace(layer)
         for name in names or CONTRACTS:
             self.spark.sql(create_statement(CONTRACTS[name], self.table(name)))
         return self
 
+    def create_namespace(self, layer: str) -> LayerStore:
+        where = f"{self.root}/{self.namespace(layer)}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace(layer)} LOCATION '{where}'")
+        return self
+
+    def location(self, name: str) -> str:
+        """The folder of a table's files."""
+        described = self.layout(name).where("col_name = 'Location'")
+        return described.first()["data_type"]
+
     def drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table(name)}")
 
-    def overwrite(self, df: DataFrame, name: str, regroup: bool = True) -> int:
+    def overwrite(self, df: DataFrame, name: str) -> int:
         """Replace the whole table; returns the rows now stored.
 
         Rows are regrouped by folder value before writing, which keeps one task
         from opening a file in every folder; a folder with far more rows than
-        others is split over several tasks. `regroup=False` spares that shuffle
-        where the rows of a task fall into few folders anyway.
+        others is split over several tasks.
 
         The plan runs once: the count reads the footers of what was stored, and
         so also holds when tasks were retried.
         """
+        self._laid_out(df, name).write.insertInto(self.table(name), overwrite=True)
+        return self.stored_rows(name)
+
+    def _laid_out(self, df: DataFrame, name: str) -> DataFrame:
+        contract = CONTRACTS[name]
+        rows, part = conform(df, contract), contract.partitioning
+        if not part:
+            return rows
+        return rows.withColumn(part.column, part.expression()).hint("rebalance", part.column)
+
+    def upsert(
+        self, incoming: DataFrame, name: str, keys: Sequence[str], newest_by: Sequence[str]
+    ) -> int:
+        """Apply a delivery to the stored table; returns the rows now stored.
+
+        Folders that hold a key of the delivery, or get one of its rows, are read and
+        written again; the others keep their files. The new content is first written to
+        the shared folder: a stage that dies before the table is touched leaves the table
+        as it was, and one that dies later can be run again. A table without folders is
+        rewritten as a whole.
+        """
         contract = CONTRACTS[name]
-        rows = conform(df, contract)
-        part = contract.partitioning
+        part, table = contract.partitioning, self.table(name)
+        delivery = f"{new_folder(self.spark, 'delivery')}/rows"
+        conform(incoming, contract).write.parquet(delivery)
+        delivered = self.spark.read.schema(contract.schema).parquet(delivery)
+        current = self.spark.table(table)
         if part:
-            rows = rows.withColumn(part.column, part.expression())
-            if regroup:
-                rows = rows.hint("rebalance", part.column)
-        rows.write.insertInto(self.table(name), overwrite=True)
+            named = current.join(delivered.select(*keys).distinct(), list(keys), "left_semi")
+            new = delivered.select(part.expression().alias(part.column))
+            folders = named.select(part.column).unionByName(new).distinct()
+            # One value per folder touched, never more than the table has folders.
+            values = [row[0] for row in folders.collect()]
+            current = current.where(_one_of(part.column, values))
+        merged = upsert(current.select(*contract.columns), delivered, keys, newest_by)
+        staged = f"{new_folder(self.spark, 'upsert')}/rows"
+        self._laid_out(merged, name).write.parquet(staged)
+        rows = self.spark.read.parquet(staged).select(*self.spark.table(table).columns)
+        if part:
+            self._replace_folders(rows.hint("rebalance", part.column), table)
+            filled = {row[0] for row in rows.select(part.column).distinct().collect()}
+            for value in set(values) - filled:  # every row has moved to another folder
+                self._drop_folder(table, part.column, value)
+        else:
+            rows.write.insertInto(table, overwrite=True)
         return self.stored_rows(name)
 
+    def _replace_folders(self, rows: DataFrame, table: str) -> None:
+        """Overwrite the folders that get rows; a catalog table takes this as a setting only."""
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "dynamic")
+        try:
+            rows.write.insertInto(table, overwrite=True)
+        finally:
+            self.spark.conf.set(setting, before)
+
+    def _drop_folder(self, table: str, column: str, value: object) -> None:
+        if value is None:
+            text = "NULL"
+        else:
+            quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+            text = f"'{quoted}'"
+        self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = {text})")
+
     def stored_rows(self, name: str) -> int:
         return self.spark.table(self.table(name)).count()
 
@@ -101,10 +172,17 @@ class LayerStore:
                 rows = rows.where(F.col(part.source) <= until)
         return rows.select(*contract.columns)
 
+    def namespaces(self) -> DataFrame:
+        """The namespaces of this store that the catalog has."""
+        shown = self.spark.sql("SHOW NAMESPACES").where(
+            F.col("namespace").isin([self.namespace(layer) for layer in LAYERS])
+        )
+        return shown.select(F.substring("namespace", len(self.prefix) + 1, 100).alias("layer"))
+
     def listing(self) -> DataFrame:
         """Namespaces and tables present in this store, from the catalog."""
         found = None
-        for layer in LAYERS:
+        for layer in sorted(row["layer"] for row in self.namespaces().collect()):
             shown = self.spark.sql(f"SHOW TABLES IN {self.namespace(layer)}").select(
                 F.lit(layer).alias("layer"), F.col("tableName").alias("table_name")
             ).where(~F.col("isTemporary"))
