@@ -25,5 +25,8 @@ def hours_before(hours: int, as_of: datetime | None = None) -> Column:
     return now(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS")
 
 
-def not_after(moment: Column, as_of: datetime | None = None) -> Column:
-    return F.lit(True) if as_of is None else moment <= now(as_of)
+def not_after(moment: Column, as_of: datetime | None = None, by_day: bool = False) -> Column:
+    """Whether a time, or with `by_day` a date, is not later than `as_of`, if that is given."""
+    if as_of is None:
+        return F.lit(True)
+    return moment <= (today(as_of) if by_day else now(as_of))

@@ -23,7 +23,7 @@ def purchases(source: DataFrame) -> DataFrame:
 
 
 def pageviews(source: DataFrame) -> DataFrame:
-    """Click log rows; whole-number times are seconds since 1970."""
-    if isinstance(source.schema["received_at"].dataType, T.IntegralType):
+    """Click log rows; numeric times are seconds since 1970."""
+    if isinstance(source.schema["received_at"].dataType, T.NumericType):
         source = source.withColumn("received_at", F.timestamp_seconds("received_at"))
     return conform(source, CONTRACTS["bronze.pageviews"])

@@ -109,10 +109,11 @@ def recent(purchases: DataFrame, hours: int, as_of: datetime | None = None) -> D
     there so that a store laid out by day opens only the days in question."""
     start = clock.hours_before(hours, as_of)
     moment = F.col("created_at")
+    day = F.col("purchase_date")
     return purchases.where(
-        (F.col("purchase_date") >= F.to_date(start))
-        & (moment >= start)
+        (day >= F.to_date(start)) & (moment >= start)
         & clock.not_after(moment, as_of)
+        & clock.not_after(day, as_of, by_day=True)
     )
 
 

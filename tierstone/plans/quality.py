@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierstone.contracts import Contract
+from tierstone.sources.ndjson import MALFORMED
+
 
 class GateFailed(RuntimeError):
     pass
@@ -34,6 +37,37 @@ def gates(
     )
 
 
+def lost_values(source: DataFrame, contract: Contract) -> DataFrame:
+    """Gate rows for values that were there in the source and are NULL in the declared
+    type, per column whose type differs, and for lines that were no JSON object.
+
+    One pass over the source; a table with nothing to cast gives no row. Whole-number
+    and fractional epochs of the click log are no loss.
+    """
+    measures = []
+    for name, kind in contract.fields:
+        have = source.schema[name].dataType
+        value = F.col(name)
+        if have == kind or (kind.typeName() == "timestamp" and have.typeName() in ("long", "integer", "double")):
+            continue
+        lost = value.isNotNull() & value.try_cast(kind).isNull()
+        measures.append(F.count_if(lost).alias(f"{name}_kept"))
+    if MALFORMED in source.columns:
+        broken = F.col(MALFORMED).isNotNull()
+        nothing = F.lit(True)
+        for name in contract.columns:
+            nothing = nothing & F.col(name).isNull()
+        measures.append(F.count_if(broken).alias("lines_parsed"))
+        measures.append(F.count_if(broken & nothing).alias("lines_with_values"))
+    empty = source.sparkSession.createDataFrame([], "table string, check string, failures long, passed boolean")
+    if not measures:
+        return empty
+    measured = source.agg(*measures)
+    counted = measured.unpivot([], list(measured.columns), "check", "failures")
+    named = counted.select(F.lit(contract.name).alias("table"), "check", "failures")
+    return named.withColumn("passed", F.col("failures") == 0)
+
+
 def all_gates(*results: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 

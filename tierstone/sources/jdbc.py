@@ -22,6 +22,8 @@ class Database:
             "user": self.user,
             "password": self.password,
             "fetchsize": self.fetch_size,
+            # A time without zone stays what it says; the JVM's zone does not shift it.
+            "preferTimestampNTZ": "true",
             **extra,
         }
         return {name: str(value) for name, value in given.items() if value not in ("", None)}

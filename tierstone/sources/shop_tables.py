@@ -86,14 +86,17 @@ def bulk_purchases(spark: SparkSession, sf_dir: str, buyers: bool = True) -> Dat
     )
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clicks(spark: SparkSession, sf_dir: str, whole: bool = True) -> DataFrame:
     """Page views in the shape of the click log, time as timestamp.
 
-    Viewers are a third of the customers; their number is a scalar subquery.
+    Viewers are a third of the customers; their number is a scalar subquery. Readers
+    that ask neither for user nor for URL say `whole=False`: both are then plain
+    expressions that Spark leaves out with the JSON they are made of.
     """
     viewers = table(spark, sf_dir, "customer").selectExpr("count(*) DIV 3").scalar()
     seen = table(spark, sf_dir, "events").where("event_type <> 'purchase'")
-    keyed = with_once(seen, "k", F.expr("CAST(get_json_object(props, '$.k') AS BIGINT)"))
+    key = F.expr("CAST(get_json_object(props, '$.k') AS BIGINT)")
+    keyed = with_once(seen, "k", key) if whole else seen.withColumn("k", key)
     return keyed.select(
         (F.expr("event_id * 7919 + k * 31") % viewers).alias("user_id"),
         F.expr(

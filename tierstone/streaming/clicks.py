@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierstone.plans import bronze
-from tierstone.sources.ndjson import CLICK_SCHEMA
+from tierstone.sources.ndjson import CLICK_SCHEMA, MALFORMED
 
 
 def click_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -14,20 +14,26 @@ def click_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     raw = (
         spark.readStream.schema(CLICK_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .json(path)
     )
     return bronze.pageviews(raw)
 
 
-def ingest_available(stream: DataFrame, target: str, checkpoint: str) -> None:
+def ingest_available(stream: DataFrame, target: str, checkpoint: str, files_per_day: int = 4) -> None:
     """Append everything that has arrived to Parquet, by day, then stop.
 
+    An object may hold events of any day. Each batch is regrouped so that a day fills
+    `files_per_day` files at most, however many objects came; that many tasks share
+    the rows of a heavy day.
+
     The file sink and the checkpoint together make each object count once, also
     when a run is killed and started again. There is no state to bound.
     """
     by_day = stream.withColumn("part_received_at", F.to_date("received_at"))
+    spread = F.pmod(F.xxhash64(*stream.columns), F.lit(files_per_day))
     query = (
-        by_day.writeStream.format("parquet")
+        by_day.repartition("part_received_at", spread).writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .partitionBy("part_received_at")
