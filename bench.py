@@ -30,6 +30,12 @@ HEADLINE = (
     "rfm_full",
     "latest_per_key",
     "quality_gates",
+    "full_refresh",
+    "json_ingest",
+    "incremental_load",
+    "stored_upsert",
+    "compaction",
+    "stream_pageviews",
 )
 
 

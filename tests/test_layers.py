@@ -268,10 +268,12 @@ def test_row_counts_and_parity(spark):
     assert rows_of(missing) == [("a", 3, 3, True), ("b", 0, None, False)]
 
 
-def test_run_sql_binds_views_and_cuts(spark):
-    df = reports.run_sql(spark, "SELECT id FROM numbers ORDER BY id DESC", limit=2, numbers=spark.range(10))
-    assert [r["id"] for r in df.collect()] == [9, 8]
-    assert reports.run_sql(spark, "SELECT * FROM numbers", numbers=spark.range(500)).count() == 100
+def test_run_sql_binds_views_and_gives_everything(spark):
+    df = reports.run_sql(spark, "SELECT id FROM numbers ORDER BY id DESC", numbers=spark.range(10))
+    assert [r["id"] for r in df.collect()] == list(range(9, -1, -1))
+    assert reports.run_sql(spark, "SELECT * FROM numbers", bind="again", numbers=spark.range(500)).count() == 500
+    assert reports.run_sql(spark, "SELECT * FROM again WHERE id >= 150").count() == 350
+    assert reports.shown(reports.run_sql(spark, "SELECT * FROM again")).count() == 100
 
 
 def test_as_record_turns_first_row(spark):

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings as hypo, strategies as st
 from pyspark.sql import functions as F
 
 from tierstone.operators.latest import latest_per_key, upsert
-from tierstone.operators.lookup import lookup
+from tierstone.operators.lookup import hot_keys, lookup
 from tierstone.operators.once import with_once
 from tierstone.operators.rank import top_k
 
@@ -81,7 +81,8 @@ def test_lookup_reads_only_what_it_takes(spark, tmp_path):
 
 
 rows = st.lists(
-    st.tuples(st.integers(0, 4), st.integers(0, 5), st.one_of(st.none(), st.integers(0, 9))), max_size=30
+    st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.integers(0, 5), st.one_of(st.none(), st.integers(0, 9))),
+    max_size=30,
 )
 
 
@@ -89,17 +90,42 @@ rows = st.lists(
 @given(current=rows, incoming=rows)
 def test_upsert_equals_brute_force(spark, current, incoming):
     schema = "k long, stamp long, v long"
+    # One row per key, as an upsert leaves a table; rows without a key are any number.
+    current = list({r[0]: r for r in current if r[0] is not None}.values()) + [r for r in current if r[0] is None]
     best = {}
     for side, part in enumerate((current, incoming)):
-        for k, stamp, v in part:
+        for n, (k, stamp, v) in enumerate(part):
+            k = (side, n) if k is None else k
             rank = (stamp, side, v is not None, v)
             if k not in best or rank > best[k][0]:
-                best[k] = (rank, (k, stamp, v))
+                best[k] = (rank, (None if isinstance(k, tuple) else k, stamp, v))
     got = upsert(spark.createDataFrame(current, schema), spark.createDataFrame(incoming, schema),
                  ["k"], ["stamp"])
     assert rows_of(got) == sorted((r for _, r in best.values()), key=str)
 
 
+def test_upsert_sorts_no_current_rows(spark, settings, tmp_path):
+    """Current rows meet the delivery's keys in joins; only touched ones are aggregated."""
+    spark.range(1000).selectExpr("id AS k", "id AS stamp", "repeat('x', 50) AS v").write.parquet(str(tmp_path / "t"))
+    current = spark.read.parquet(str(tmp_path / "t"))
+    plan = final_plan(upsert(current, current.where("k % 100 = 1"), ["k"], ["stamp"]))
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
+
+
+def test_rows_without_a_key_stay(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 1, "a"), (1, 1, "b"), (1, 2, "c")], "k long, s long, v string")
+    assert rows_of(latest_per_key(df, ["k"], ["s"])) == [(1, 2, "c"), (None, 1, "a"), (None, 1, "a")]
+
+
+def test_hot_keys_of_several_columns(spark):
+    facts = spark.range(1000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS a", "id % 500 AS b", "id % 20 AS c")
+    hot = hot_keys(facts, ["a", "b", "c"], share=0.04)
+    found = spark.range(1000).select("id", *(hot[k](F.col("id")).alias(k) for k in ("a", "b", "c")))
+    assert {r["id"] for r in found.where("a").collect()} == {7}
+    assert found.where("b").count() == 0
+    assert {r["id"] for r in found.where("c").collect()} == set(range(20))
+
+
 def test_latest_reduces_before_the_shuffle(spark):
     history = spark.range(10000).select(
         F.lit(1).alias("k"), F.col("id").alias("stamp"), F.col("id").cast("string").alias("v")

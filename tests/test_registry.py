@@ -4,13 +4,15 @@ import pytest
 from conftest import TINY
 
 import __spark_entry__ as entry_point
+from tierstone.registry.oracles import ORACLES
+from tierstone.registry.queries import QUERIES
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR"}
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -1,4 +1,5 @@
 import glob
+import os
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 
 from tierstone.contracts import CONTRACTS
 from tierstone.functions import clock
-from tierstone.plans import gold, refresh, reports, silver
+from tierstone.plans import gold, quality, refresh, reports, silver
 from tierstone.sinks.csv import export_csv, read_export
 from tierstone.sinks.store import LayerStore, create_statement
 
@@ -144,10 +145,10 @@ def segments(shop, n):
     return gold.user_engagement_segments(users, views, AS_OF)
 
 
-def test_small_export_is_one_part_with_header(spark, shop, tmp_path):
+def test_single_file_export_is_one_part_with_header(spark, shop, tmp_path):
     df = segments(shop, 20).repartition(4)
     path = str(tmp_path / "csv")
-    export_csv(df, path, rows=20)
+    export_csv(df, path, single_file=True)
     parts = glob.glob(f"{path}/*.csv")
     assert len(parts) == 1 and glob.glob(f"{path}/_SUCCESS")
     with open(parts[0]) as part:
@@ -156,10 +157,10 @@ def test_small_export_is_one_part_with_header(spark, shop, tmp_path):
     assert rows_of(read_export(spark, path, schema)) == rows_of(df)
 
 
-def test_large_export_stays_in_parts_and_loses_nothing(spark, shop, tmp_path):
+def test_export_stays_in_parts_and_loses_nothing(spark, shop, tmp_path):
     df = segments(shop, 40).repartition(4)
     path = str(tmp_path / "csv")
-    export_csv(df, path, rows=40, single_file_rows=10)
+    export_csv(df, path)
     assert len(glob.glob(f"{path}/*.csv")) == 4
     schema = CONTRACTS["gold.user_engagement_segments"].schema
     assert rows_of(read_export(spark, path, schema)) == rows_of(df)
@@ -199,3 +200,62 @@ def test_table_files_are_parquet_with_declared_types(spark, store, shop):
     store.overwrite(silver.items(shop.items((1, "a", "c", "-1.00"))), "silver.items")
     assert isinstance(store.read("silver.items").schema["price"].dataType, T.DecimalType)
     assert store.read("silver.items").first()["price"] == Decimal("0.00")
+
+
+# --- upserts, layout of facts, backfills ---------------------------------------------------
+
+
+def files_of(spark, store, name):
+    folder = store.location(name).removeprefix("file:")
+    return {os.path.relpath(f, folder): os.path.getmtime(f) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)}
+
+
+def test_upsert_rewrites_touched_folders_only(spark, store):
+    schema = CONTRACTS["bronze.items"].schema
+    day = datetime(2024, 1, 1)
+    row = lambda i, category, price, at=day: (i, f"n{i}", category, Decimal(price), 1, at, at)
+    first = [row(1, "a", "1.00"), row(2, "b", "1.00"), row(3, "c", "1.00"), row(4, "it's", "1.00"), row(5, None, "1.00")]
+    store.create("bronze.items").overwrite(spark.createDataFrame(first, schema), "bronze.items")
+    before = files_of(spark, store, "bronze.items")
+    later = datetime(2024, 1, 2)
+    delivery = [row(2, "d", "2.00", later), row(3, "c", "9.00", datetime(2023, 1, 1)), row(None, "c", "3.00"),
+                row(4, "c", "4.00", later), row(9, "e", "5.00")]
+    assert store.upsert(spark.createDataFrame(delivery, schema), "bronze.items", ["id"], ["updated_at"]) == 7
+    got = {(r["id"], r["category"], str(r["price"])) for r in store.read("bronze.items").collect()}
+    assert got == {(1, "a", "1.00"), (2, "d", "2.00"), (3, "c", "1.00"), (4, "c", "4.00"), (5, None, "1.00"),
+                   (None, "c", "3.00"), (9, "e", "5.00")}
+    after = files_of(spark, store, "bronze.items")
+    untouched = [f for f in before if f.startswith(("part_category=a/", "part_category=__HIVE"))]
+    assert len(untouched) == 2 and all(after.get(f) == before[f] for f in untouched)
+    assert not any(f.startswith("part_category=b/") for f in after)
+
+
+def test_objects_that_span_all_days_give_few_files_per_day(spark, store, shop):
+    """32 scattered tasks, 10 days: regrouped, not 320 files; a heavy day is still split."""
+    views = spark.range(20000).select(
+        F.col("id").alias("user_id"), F.lit("/p/1").alias("url"), F.lit("x").alias("channel"),
+        F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, CAST(id % 10 AS INT))").alias("received_at"),
+    ).repartition(32)
+    store.create("bronze.pageviews").overwrite(views, "bronze.pageviews")
+    assert len(files_of(spark, store, "bronze.pageviews")) <= 12
+
+
+def test_gates_stop_a_refresh_before_silver(spark, store, shop, tmp_path):
+    sources = refresh.Sources(
+        shop.users((1, "A", "B", "a@example.com")),
+        shop.items((10, None, "gadgets", "2.00")),
+        shop.purchases((1, 1, 10, 2, "5.00", datetime(2024, 1, 30, 8))),
+        shop.pageviews((1, "/products/10", "x")),
+    )
+    with pytest.raises(quality.GateFailed, match="bronze.items: name_present"):
+        refresh.refresh(store, sources, str(tmp_path / "csv"), enforce=True)
+    assert store.stored_rows("bronze.items") == 1 and store.stored_rows("silver.items") == 0
+
+
+def test_a_backfill_opens_folders_between_both_bounds(spark, store, shop):
+    store.create("silver.purchases_enriched")
+    end = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    rows = store.read("silver.purchases_enriched", end - F.expr("INTERVAL 24 HOURS"), end)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    pruned = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "2024-01-09" in pruned.replace("19731", "2024-01-09") and "<=" in pruned and ">=" in pruned

@@ -146,18 +146,19 @@ top_items AS (
   FROM enriched GROUP BY item_id, item_name, item_category
   ORDER BY total_revenue DESC NULLS LAST, item_id NULLS FIRST LIMIT 10
 ),
-repriced AS (
-  SELECT id, name, category, CAST(price + 0.10 AS DECIMAL(7,2)) AS price, inventory,
-         created_at, updated_at + INTERVAL 1 DAY AS updated_at
+upserted AS (
+  SELECT id, name, CASE WHEN id % 9 = 0 THEN 'moved' ELSE category END AS category,
+         CASE WHEN id % 3 = 0 THEN CAST(price + 0.10 AS DECIMAL(7,2)) ELSE price END AS price, inventory,
+         created_at,
+         CASE WHEN id % 3 = 0 THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at
   FROM items
+  UNION ALL SELECT id + 1000000, name, category, price, inventory, created_at, updated_at
+  FROM items WHERE id % 7 = 0
+  UNION ALL SELECT NULL, name, category, price, inventory, created_at, updated_at
+  FROM items WHERE id % 50 = 0
 )
 """
 
-_PARITY = """
-SELECT 'bronze.users' AS t, count(*) AS n_one, count(*) AS n_other, true AS agrees FROM users
-UNION ALL SELECT 'bronze.purchases', count(*), count(*), true FROM purchases
-"""
-
 _COUNTS = {
     "bronze.users": "users",
     "bronze.items": "items",
@@ -174,6 +175,11 @@ _COUNTS = {
     "gold.user_engagement_segments": "segments",
 }
 
+_PARITY = " UNION ALL ".join(
+    f"SELECT '{name}' AS t, count(*) AS n_one, count(*) AS n_other, true AS agrees FROM {relation}"
+    for name, relation in _COUNTS.items()
+)
+
 _LAST_DAY_HOURS = """
 SELECT purchase_hour, CAST(sum(total_price) AS DECIMAL(20,2)) AS total_revenue
 FROM last_day GROUP BY purchase_hour
@@ -266,9 +272,9 @@ _SELECTS = {
                {_mean("CAST(sum(revenue) * 100 AS BIGINT)", "count(*)")} AS avg_revenue
         FROM performance GROUP BY item_category""",
     "avg_amount_by_supplier": f"""
-        SELECT l_suppkey AS vendor_id, count(*) AS trips,
+        SELECT l_suppkey AS supplier, count(*) AS lines,
                {_mean("CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) * 100 AS BIGINT)",
-                      "count(*)")} AS avg_fare
+                      "count(*)")} AS mean_amount
         FROM lineitem GROUP BY l_suppkey""",
     "email_validity": """
         SELECT valid_email, count(*) AS user_count FROM silver_users GROUP BY valid_email""",
@@ -282,8 +288,7 @@ _SELECTS = {
         for name in ("users", "items", "purchases", "pageviews")
     ),
     "sql_over_view": """
-        SELECT item_id, item_name, revenue, pageviews FROM performance
-        ORDER BY revenue DESC, item_id LIMIT 100""",
+        SELECT item_id, item_name, revenue, pageviews FROM performance""",
     "first_record": """
         SELECT unnest(['item_id', 'item_name', 'item_category', 'total_revenue']) AS "column",
                unnest([CAST(item_id AS VARCHAR), item_name, item_category,
@@ -333,16 +338,52 @@ _SELECTS = {
             _gate("silver.purchases_enriched", "enriched", "id",
                   ["total_price", "user_email", "item_name"]),
             _gate("silver.pageviews_by_items", "item_views", None, ["item_id", "item_name"]),
+            _gate("bronze.users", "users", "id", ["email"]),
+            _gate("bronze.purchases", "purchases", "id", ["quantity"]),
         ]
     ),
-    "latest_per_key": "SELECT * FROM repriced",
-    "incremental_load": "SELECT * FROM repriced",
+    "latest_per_key": "SELECT * FROM upserted",
+    "incremental_load": "SELECT * FROM upserted",
+    "stored_upsert": "SELECT * FROM upserted",
+    "served_full_table": "SELECT item_id, revenue, pageviews FROM performance",
+    "refreshed_silver_users": "SELECT * FROM silver_users",
+    "refreshed_silver_items": "SELECT * FROM silver_items",
+    "refreshed_silver_purchases_enriched": "SELECT * FROM enriched",
+    "refreshed_silver_pageviews_by_items": """
+        SELECT * REPLACE (date_trunc('second', received_at) AS received_at) FROM item_views""",
+    "refreshed_gold_item_performance": "SELECT * FROM performance",
+    "refreshed_gold_top_selling_items": "SELECT * FROM top_items",
+    "refreshed_gold_sales_performance_24h": _LAST_DAY_HOURS,
+    "refreshed_gold_pageviews_by_channel": """
+        SELECT channel, count(*) AS total_pageviews FROM item_views GROUP BY channel""",
+    "refreshed_gold_user_engagement_segments": "SELECT * FROM segments",
+    "backfill_24h": """
+        SELECT purchase_hour, CAST(sum(total_price) AS DECIMAL(20,2)) AS total_revenue
+        FROM enriched
+        WHERE created_at >= TIMESTAMP '2024-01-09' AND created_at <= TIMESTAMP '2024-01-10'
+        GROUP BY purchase_hour""",
+    "namespaces": " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, CAST({n} AS BIGINT) AS tables FROM (SELECT count(*) FROM part)"
+        for layer, n in (("bronze", 4), ("silver", 4), ("gold", 5))
+    ),
+    "rejected_values": """
+        SELECT 'bronze.purchases' AS "table", 'quantity_kept' AS "check",
+               count(*) FILTER (id % 10 = 3) AS failures, count(*) FILTER (id % 10 = 3) = 0 AS passed
+        FROM purchases
+        UNION ALL SELECT 'bronze.pageviews', 'lines_parsed', count(*) FILTER (channel = 'signup'),
+               count(*) FILTER (channel = 'signup') = 0 FROM pageviews
+        UNION ALL SELECT 'bronze.pageviews', 'lines_with_values', count(*) FILTER (channel = 'signup'),
+               count(*) FILTER (channel = 'signup') = 0 FROM pageviews
+        UNION ALL SELECT 'bronze.purchases', 'quantity_present', count(*) FILTER (id % 10 = 3),
+               count(*) FILTER (id % 10 = 3) = 0 FROM purchases
+        UNION ALL SELECT 'bronze.purchases', 'not_empty', 0, count(*) > 0 FROM purchases
+        UNION ALL SELECT 'bronze.purchases', 'id_unique', 0, true FROM (SELECT count(*) FROM part)""",
     "as_of_load": "SELECT * FROM items",
     "load_log": """
         SELECT CAST(1 AS BIGINT) AS load_id, TIMESTAMP '2024-01-01' AS loaded_at,
                'overwrite' AS operation, count(*) AS row_count FROM items
         UNION ALL
-        SELECT CAST(2 AS BIGINT), TIMESTAMP '2024-01-02', 'overwrite', count(*) FROM repriced""",
+        SELECT CAST(2 AS BIGINT), TIMESTAMP '2024-01-02', 'upsert', count(*) FROM upserted""",
     "schema_evolution": """
         SELECT user_id, url, NULL AS ua, received_at FROM pageviews
         UNION ALL SELECT user_id, url, 'agent-' || channel, received_at FROM pageviews

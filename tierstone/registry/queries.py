@@ -63,6 +63,11 @@ def bronze_pageviews(spark, sf_dir):
     return bronze.pageviews(shop_tables.clicks(spark, sf_dir))
 
 
+def _view_facts(spark, sf_dir):
+    """Page views for readers of neither user nor URL."""
+    return bronze.pageviews(shop_tables.clicks(spark, sf_dir, whole=False))
+
+
 def bulk_purchases(spark, sf_dir, buyers=True):
     return bronze.purchases(shop_tables.bulk_purchases(spark, sf_dir, buyers))
 
@@ -217,12 +222,12 @@ def avg_revenue_by_category(spark, sf_dir):
 
 @query
 def avg_amount_by_supplier(spark, sf_dir):
-    """Rows and mean amount per vendor, on order lines."""
+    """Rows and mean amount per supplier, on order lines."""
     lines = shop_tables.table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("vendor_id"),
+        F.col("l_suppkey").alias("supplier"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
     )
-    return reports.average_by(lines, "vendor_id", "amount", "trips", "avg_fare")
+    return reports.average_by(lines, "supplier", "amount", "lines", "mean_amount")
 
 
 @query
@@ -232,7 +237,7 @@ def email_validity(spark, sf_dir):
 
 @query
 def bronze_channel_counts(spark, sf_dir):
-    return reports.channel_counts(bronze_pageviews(spark, sf_dir))
+    return reports.channel_counts(_view_facts(spark, sf_dir))
 
 
 @query
@@ -254,14 +259,14 @@ def layer_row_counts(spark, sf_dir):
             "users": bronze_users(spark, sf_dir),
             "items": bronze_items(spark, sf_dir),
             "purchases": bronze_purchases(spark, sf_dir),
-            "pageviews": bronze_pageviews(spark, sf_dir),
+            "pageviews": _view_facts(spark, sf_dir),
         }
     )
 
 
 @query
 def sql_over_view(spark, sf_dir):
-    """SQL text over a bound DataFrame, cut to the default number of rows."""
+    """SQL text over a bound DataFrame; the whole result."""
     text = (
         "SELECT item_id, item_name, revenue, pageviews FROM shop_performance"
         " ORDER BY revenue DESC, item_id"
@@ -344,22 +349,22 @@ def partition_pruned_read(spark, sf_dir):
 @query
 def insert_values_roundtrip(spark, sf_dir):
     """A table filled from items, then given two literal rows."""
-    store = scratch_store(spark).create("bronze.items")
+    store = scratch_store(spark).create_namespace("bronze")
     target = f"{store.namespace('bronze')}.notes"
     spark.sql(f"DROP TABLE IF EXISTS {target}")
     spark.sql(f"CREATE TABLE {target} (id BIGINT, msg STRING) USING parquet")
     bronze_items(spark, sf_dir).select("id", F.col("name").alias("msg")).write.insertInto(target)
     spark.sql(f"INSERT INTO {target} VALUES (-1, 'hello'), (-2, 'world')")
-    return spark.sql(f"SELECT * FROM {target} ORDER BY id")
+    return spark.sql(f"SELECT * FROM {target}")
 
 
 @query
 def segments_csv_roundtrip(spark, sf_dir):
     """Segments stored, exported as CSV from the stored table, and read from there."""
     store = scratch_store(spark).create(SEGMENTS)
-    rows = store.overwrite(user_engagement_segments(spark, sf_dir), SEGMENTS)
+    store.overwrite(user_engagement_segments(spark, sf_dir), SEGMENTS)
     folder = f"{store.root}/segmented_users"
-    export_csv(store.read(SEGMENTS), folder, rows)
+    export_csv(store.read(SEGMENTS), folder)
     return read_export(spark, folder, CONTRACTS[SEGMENTS].schema)
 
 
@@ -369,7 +374,7 @@ def report_csv(spark, sf_dir):
     report = revenue_by_category(spark, sf_dir)
     folder = os.path.join(new_folder(spark, "report"), "csv")
     # One row per category, so a single part.
-    export_csv(report, folder, rows=0)
+    export_csv(report, folder, single_file=True)
     return read_export(spark, folder, report.schema)
 
 
@@ -382,16 +387,61 @@ def _sources(spark, sf_dir):
     )
 
 
+_REFRESHED: dict[tuple[str, str], LayerStore] = {}
+
+
+def _refreshed(spark, sf_dir) -> LayerStore:
+    """A store with all layers loaded from the test tables, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REFRESHED:
+        store = scratch_store(spark)
+        refresh.refresh(store, _sources(spark, sf_dir), f"{store.root}/segmented_users", AS_OF)
+        _REFRESHED[key] = store
+    return _REFRESHED[key]
+
+
 @query
 def full_refresh(spark, sf_dir):
     """All layers reloaded into the catalog; every table listed with its rows."""
     store = scratch_store(spark)
-    refresh.refresh(store, _sources(spark, sf_dir), f"{store.root}/segmented_users", AS_OF)
+    refresh.refresh(store, _sources(spark, sf_dir), f"{store.root}/segmented_users", AS_OF, salts=4)
     counts = reports.row_counts({name: store.read(name) for name in CONTRACTS})
     listed = store.listing().select(F.concat_ws(".", "layer", "table_name").alias("t"))
     return listed.join(counts, "t")
 
 
+def _stored_content(name: str) -> Query:
+    def content(spark, sf_dir):
+        return _refreshed(spark, sf_dir).read(name)
+
+    content.__name__ = "refreshed_" + name.replace(".", "_")
+    content.__doc__ = f"What a full refresh leaves in {name}."
+    return content
+
+
+for _name in CONTRACTS:
+    if not _name.startswith("bronze."):
+        query(_stored_content(_name))
+
+
+@query
+def backfill_24h(spark, sf_dir):
+    """The 24-hour table as of an early day over the stored facts of all days."""
+    moment = datetime(2024, 1, 10)
+    start = F.lit(moment.isoformat(" ")).cast("timestamp") - F.expr("INTERVAL 24 HOURS")
+    end = F.lit(moment.isoformat(" ")).cast("timestamp")
+    stored = _refreshed(spark, sf_dir).read("silver.purchases_enriched", start, end)
+    return gold.sales_performance_24h(stored, moment)
+
+
+@query
+def namespaces(spark, sf_dir):
+    """Namespaces of the refreshed store with the number of their tables."""
+    store = _refreshed(spark, sf_dir)
+    tables = store.listing().groupBy("layer").agg(F.count(F.lit(1)).alias("tables"))
+    return store.namespaces().join(tables, "layer")
+
+
 def _served(spark, name: str, rows: DataFrame, text: str) -> DataFrame:
     """SQL over a stored table, named `{table}` in the text."""
     store = scratch_store(spark).create(name)
@@ -423,17 +473,22 @@ def serving_row_count(spark, sf_dir):
     return _served(spark, "gold.item_performance", item_performance(spark, sf_dir), text)
 
 
+@query
+def served_full_table(spark, sf_dir):
+    """All of a stored table through SQL text, bound as a view and read again."""
+    store = scratch_store(spark).create("gold.item_performance")
+    store.overwrite(item_performance(spark, sf_dir), "gold.item_performance")
+    text = f"SELECT item_id, revenue, pageviews FROM {store.table('gold.item_performance')}"
+    reports.run_sql(spark, text, bind="served_items")
+    return reports.run_sql(spark, "SELECT * FROM served_items")
+
+
 @query
 def count_parity(spark, sf_dir):
-    """Stored tables counted through the catalog and through their plans."""
-    store = scratch_store(spark).create("bronze.users", "bronze.purchases")
-    plans = {
-        "bronze.users": bronze_users(spark, sf_dir),
-        "bronze.purchases": bronze_purchases(spark, sf_dir),
-    }
-    for name, rows in plans.items():
-        store.overwrite(rows, name)
-    return reports.count_parity(plans, {name: store.read(name) for name in plans})
+    """Every stored table counted through the catalog and straight from its files."""
+    store = _refreshed(spark, sf_dir)
+    files = {name: spark.read.parquet(store.location(name)) for name in CONTRACTS}
+    return reports.count_parity({name: store.read(name) for name in CONTRACTS}, files)
 
 
 # --- extensions -------------------------------------------------------------------------------
@@ -463,45 +518,80 @@ def quality_gates(spark, sf_dir):
         ),
         quality.gates(pageviews_by_items(spark, sf_dir), "silver.pageviews_by_items", None,
                       ["item_id", "item_name"]),
+        quality.gates(bronze_users(spark, sf_dir), "bronze.users", "id", ["email"]),
+        quality.gates(bronze_purchases(spark, sf_dir), "bronze.purchases", "id", ["quantity"]),
     )
 
 
-def _repriced(items: DataFrame) -> DataFrame:
-    """A later delivery: every item one day newer and ten cents dearer."""
-    return items.withColumns(
-        {
-            "price": (F.col("price") + F.lit("0.10").cast(PRICE)).cast(PRICE),
-            "updated_at": F.col("updated_at") + F.expr("INTERVAL 1 DAY"),
-        }
+@query
+def rejected_values(spark, sf_dir):
+    """Values and lines that a load into bronze cannot keep, counted in the sources:
+    quantities that are no numbers, and log lines that are cut off."""
+    spoilt = F.expr("CASE WHEN id % 10 = 3 THEN concat(quantity, ' pcs') ELSE CAST(quantity AS STRING) END")
+    purchases = shop_tables.purchases(spark, sf_dir).withColumn("quantity", spoilt)
+    folder = os.path.join(new_folder(spark, "cut"), "json")
+    log = shop_tables.click_log(spark, sf_dir)
+    line = F.to_json(F.struct(*log.columns))
+    cut = F.when(F.col("channel") == "signup", F.substring(line, 1, 20)).otherwise(line)
+    log.select(cut.alias("value")).write.text(folder)
+    clicks_read = ndjson.read_clicks(spark, folder)
+    return quality.all_gates(
+        quality.lost_values(purchases, CONTRACTS["bronze.purchases"]),
+        quality.lost_values(clicks_read, CONTRACTS["bronze.pageviews"]),
+        quality.gates(bronze.purchases(purchases), "bronze.purchases", "id", ["quantity"]),
     )
 
 
-@query
-def latest_per_key(spark, sf_dir):
-    """Incremental load: the later delivery and a replay of the first one, upserted."""
-    first = bronze_items(spark, sf_dir)
-    return upsert(first, _repriced(first).unionByName(first), ["id"], ["updated_at"])
+def _delivery(items: DataFrame) -> DataFrame:
+    """A later delivery: a third of the items newer and dearer, some of them in another
+    category; a sixth older than what is stored; new items; items without a number. The
+    other items are absent."""
+    dearer = (F.col("price") + F.lit("0.10").cast(PRICE)).cast(PRICE)
+    later = F.col("updated_at") + F.expr("INTERVAL 1 DAY")
+    moved = F.expr("CASE WHEN id % 9 = 0 THEN 'moved' ELSE category END")
+    newer = items.where("id % 3 = 0").withColumns(
+        {"price": dearer, "updated_at": later, "category": moved}
+    )
+    earlier = F.col("updated_at") - F.expr("INTERVAL 1 DAY")
+    older = items.where("id % 6 = 1").withColumns({"name": F.lit("old"), "updated_at": earlier})
+    new = items.where("id % 7 = 0").withColumn("id", F.col("id") + 1_000_000)
+    nameless = items.where("id % 50 = 0").withColumn("id", F.lit(None).cast("long"))
+    return newer.unionByName(older).unionByName(new).unionByName(nameless)
 
 
 @query
-def incremental_load(spark, sf_dir):
-    """A stored load of items with the later delivery applied as an increment."""
-    loads = history.LoadHistory(spark, os.path.join(new_folder(spark, "history"), "items"))
+def latest_per_key(spark, sf_dir):
+    """Incremental load: a mixed delivery, repeated by a replay, upserted."""
     first = bronze_items(spark, sf_dir)
-    loads.add(first, 1, datetime(2024, 1, 1))
-    changed = _repriced(first).unionByName(first)
-    loads.add_increment(changed, ["id"], ["updated_at"], 2, datetime(2024, 1, 2))
-    return loads.as_of(datetime(2024, 1, 3))
+    keyed = _delivery(first).where("id IS NOT NULL")
+    return upsert(first, _delivery(first).unionByName(keyed), ["id"], ["updated_at"])
 
 
 def _item_history(spark, sf_dir):
+    """A load of items and the delivery applied to it as an increment."""
     loads = history.LoadHistory(spark, os.path.join(new_folder(spark, "history"), "items"))
     first = bronze_items(spark, sf_dir)
     loads.add(first, 1, datetime(2024, 1, 1))
-    loads.add(_repriced(first), 2, datetime(2024, 1, 2))
+    loads.add_increment(_delivery(first), ["id"], ["updated_at"], 2, datetime(2024, 1, 2))
     return loads
 
 
+@query
+def incremental_load(spark, sf_dir):
+    """A stored load of items with the delivery applied as an increment."""
+    return _item_history(spark, sf_dir).as_of(datetime(2024, 1, 3))
+
+
+@query
+def stored_upsert(spark, sf_dir):
+    """The delivery applied to the stored table: only touched folders are rewritten."""
+    store = scratch_store(spark).create("bronze.items")
+    first = bronze_items(spark, sf_dir)
+    store.overwrite(first, "bronze.items")
+    store.upsert(_delivery(first), "bronze.items", ["id"], ["updated_at"])
+    return store.read("bronze.items")
+
+
 @query
 def as_of_load(spark, sf_dir):
     """Items as they stood between two loads."""

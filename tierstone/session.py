@@ -50,8 +50,13 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    shuffle_bytes: int | None = None,
 ) -> SparkSession:
-    """A session with the settings above; master and sizing default to the cluster's."""
+    """A session with the settings above; master and sizing default to the cluster's.
+
+    `shuffle_bytes`, the largest shuffle expected, sets the shuffle partitions for it
+    where `shuffle_partitions` does not.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -59,4 +64,8 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return apply_runtime_settings(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    if shuffle_bytes and not shuffle_partitions:
+        width = shuffle_width(shuffle_bytes, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    return apply_runtime_settings(spark)
