@@ -1,0 +1,307 @@
+"""Chunk deduplication, mixing, neighbours, resampling, token files, toxicity."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings, strategies as st
+from llm_data import SCHEMA, TINY, doc, messy, nothing, prose  # noqa: F401
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tierstone.llm import chunk_dedup, mixing, neighbours, quality, token_files, toxicity
+from tierstone.llm.common import table
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+# --- chunks -----------------------------------------------------------------------------
+
+
+def test_cuts_cover_the_text_and_resist_insertions():
+    data = prose(1, 4000).encode()
+    ends = chunk_dedup.cuts(data)
+    sizes = np.diff(np.concatenate(([0], ends)))
+    assert ends[-1] == len(data) and sizes.max() <= chunk_dedup.LARGEST
+    assert sizes[:-1].min() >= chunk_dedup.SMALLEST
+    moved = chunk_dedup.cuts(b"inserted at the front " + data) - 22
+    assert len(set(moved) & set(ends)) > 0.99 * len(ends)
+    assert len(chunk_dedup.cuts(b"")) == 0 and chunk_dedup.cuts(b"a" * 1000).tolist()[-1] == 1000
+
+
+def test_gear_hash_is_the_rolling_sum():
+    data = prose(2, 50).encode()
+    rolled, places = 0, []
+    for i, b in enumerate(data):
+        rolled = (2 * rolled + int(chunk_dedup.GEAR[b])) % (1 << 16)
+        if rolled >> (16 - chunk_dedup.ZERO_BITS) == 0:
+            places.append(i + 1)
+    assert set(chunk_dedup.cuts(data).tolist()) - {len(data)} <= set(places)
+
+
+def test_shared_passages_are_found_and_nothing_else(spark):
+    passages = [prose(100 + i, 55) for i in range(5)]
+    rows = []
+    for i in range(60):
+        own = prose(1000 + i, 150 + i)
+        rows.append((i, f"{own[:300]} {passages[i // 2 % 5]} {own[300:]}" if i % 2 else own))
+    found = chunk_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == set(range(1, 60, 2))
+    text = dict(rows)
+    for r in found:
+        passage = passages[r["doc_id"] // 2 % 5]
+        cut = text[r["doc_id"]].encode()[r["start"] : r["end"]].decode()
+        assert cut in f" {passage} " or passage in cut or len(set(cut.split()) - set(passage.split())) <= 4
+        assert r["keep"] == (r["doc_id"] == r["first_doc_id"]) and r["first_doc_id"] == 1 + 2 * (r["doc_id"] // 2 % 5)
+
+
+def test_repeats_in_messy_rows(messy, nothing):
+    found = chunk_dedup.repeats(messy)
+    assert {r["doc_id"] for r in found.collect()} == {8, 9, None}
+    left = chunk_dedup.without_repeats(messy)
+    assert left.columns == messy.columns and left.count() == messy.count()
+    texts = {r["doc_id"]: r["text"] for r in left.collect()}
+    assert len(texts[9]) < 60 and texts[7] == prose(7, 30000)
+    assert chunk_dedup.repeats(nothing).count() == 0
+
+
+# --- mixing -----------------------------------------------------------------------------
+
+
+def test_raking_meets_the_marginals(spark):
+    docs = table(spark, TINY, "documents").withColumn("topic", mixing.topic_of(F.col("text")))
+    cells = mixing.cells_of(docs.withColumn("tokens", mixing.tokens(F.col("text"))), ["source", "lang"])
+    even = {d: cells.groupBy(d).agg(F.lit(1.0).alias("target")) for d in ("source", "lang")}
+    even = {d: t.withColumn("target", F.col("target") / t.count()) for d, t in even.items()}
+    rows = mixing.rake(cells, even, rounds=40).toPandas()
+    assert rows.groupby("lang")["w"].sum().tolist() == pytest.approx([1 / rows.lang.nunique()] * rows.lang.nunique())
+    assert rows.groupby("source")["w"].sum().tolist() == pytest.approx([1 / 20] * 20, rel=0.05)
+
+
+def test_mix_of_messy_rows(messy, nothing):
+    found = mixing.mix(messy.drop("topic")).collect()
+    assert len(found) == messy.count()
+    assert all(r["__copies"] in (int(r["__weight"]), int(r["__weight"]) + 1) for r in found)
+    assert {r["__weight"] for r in found if r["__tokens"] == 0 and r["__topic"] == "none"} == {0.0}
+    tokens = sum(r["__tokens"] for r in found)
+    assert sum(r["__weight"] * r["__tokens"] for r in found) == pytest.approx(0.6 * tokens, rel=0.01)
+    kept = mixing.sampled(messy)
+    assert kept.columns == messy.columns
+    assert mixing.mix(nothing).count() == 0
+
+
+# --- neighbours ----------------------------------------------------------------------------
+
+
+def exact(rows, k=20):
+    best = {}
+    for qid, q in rows:
+        if qid % 20 == 0:
+            for vid, v in rows:
+                if vid != qid and len(v) == len(q):
+                    s = float(np.dot(np.array(q, float), np.array(v, float)))
+                    best.setdefault(qid, {})[vid] = max(s, best.get(qid, {}).get(vid, s))
+    return {q: sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k] for q, found in best.items()}
+
+
+@pytest.mark.parametrize("lengths", ["even", "uneven"])
+def test_recall_of_neighbours(spark, monkeypatch, lengths):
+    monkeypatch.setattr(neighbours, "DATA_BLOCK", 300)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 20)
+    rng = np.random.default_rng(3)
+    v = rng.standard_normal((1500, 24)) + 2 * rng.standard_normal((1500, 1)) * (rng.random(24) < 0.3)
+    v *= 1 if lengths == "even" else rng.uniform(0.2, 4, (1500, 1))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    found = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    want = exact(rows)
+    assert set(got) == set(want)
+    hits = sum(len({x[1] for x in got[q]} & {x[0] for x in want[q]}) for q in want)
+    assert hits >= 0.95 * 20 * len(want)
+    for found_here in got.values():
+        found_here.sort()
+        assert [x[0] for x in found_here] == list(range(1, 21))
+        assert found_here == [(i + 1, *x) for i, x in enumerate(sorted((x[1:] for x in found_here), key=lambda x: (-x[1], x[0])))]
+
+
+def test_messy_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 0.0], 1), (0, [1.0, 0.0], 1), (0, [0.0, 2.0], 1), (1, [1.0, 1.0], 1), (2, [1.0, 1.0], 1),
+        (3, None, 1), (4, [], 1), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1), (7, [inf, 1.0], 1), (8, [None, 1.0], 1),
+        (None, [1.0, 1.0], 1), (20, [1.0, 2.0, 3.0], 1), (21, [1.0, 0.0, 0.0], None), (40, [-1.0, -3.0], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, score int")
+    found = [tuple(r) for r in neighbours.nearest(df, F.col("id") % 20 == 0).collect()]
+    assert sorted(found) == [
+        (0, 1, 1, 2.0), (0, 2, 2, 2.0), (0, 3, 40, -1.0), (20, 1, 21, 1.0),
+        (40, 1, 0, -1.0), (40, 2, 1, -4.0), (40, 3, 2, -4.0),
+    ]
+    assert neighbours.nearest(df.where("false"), F.col("id") % 20 == 0).count() == 0
+    assert neighbours.nearest(df, F.col("id") < -5).count() == 0
+
+
+# --- resampling -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("k", [1, 2, 7, 50, 100])
+def test_kth_greatest(spark, k):
+    rng = random.Random(k)
+    values = [rng.choice([rng.random(), 0.5, -1e300, 5e-324, 0.1 + 0.2, 0.3]) for _ in range(100)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert quality.kth_greatest(df, "x", k, cells=8) == sorted(values, reverse=True)[k - 1]
+
+
+def test_resampling_prefers_the_target(spark):
+    docs, labels = table(spark, TINY, "documents"), table(spark, TINY, "labels")
+    rows = quality.resample(docs, labels)
+    assert rows.where("selected").count() == docs.count() // 2
+    ratios = quality.log_ratios(docs, labels, "doc_id", "text")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in rows.limit(20).collect():
+        assert r["log_weight"] == pytest.approx(sum(ratios[b] for b in quality.buckets(texts[r["doc_id"]])))
+
+
+def test_resampling_of_messy_rows(spark, messy, nothing):
+    labels = spark.createDataFrame([(8, 1, 0), (8, 0, 0), (None, 1, 1), (99, None, None)], "doc_id long, quality int, toxic int")
+    rows = quality.resample(messy, labels).collect()
+    assert len(rows) == messy.count() and sum(r["selected"] for r in rows) >= len(rows) // 2
+    assert {r["log_weight"] for r in rows if r["doc_id"] in (1, 2, 3)} == {0.0}
+    assert quality.resample(nothing, labels).count() == 0
+    assert quality.resample(messy, labels.where("false")).where("log_weight <> 0").count() == 0
+
+
+# --- token files --------------------------------------------------------------------------------
+
+
+def summary(manifest):
+    schema = pa.schema([("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+    return token_files.read_files(manifest, token_files.count_and_checksum, "n_tokens long, ids_crc32 long", schema)
+
+
+def test_round_trip_of_messy_rows(messy, nothing):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    manifest = token_files.write(messy, TOKENIZER)
+    rows = sorted(summary(manifest).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == sorted((r["doc_id"] for r in messy.collect()), key=lambda x: (x is not None, x or 0))
+    total = 0
+    for r in rows:
+        assert r["start"] == total
+        total += r["n_tokens"]
+    expected = []
+    for r in messy.collect():
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        expected.append((r["doc_id"], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows), key=repr) == sorted(expected, key=repr)
+    assert summary(token_files.write(nothing, TOKENIZER)).count() == 0
+
+
+def test_one_document_is_read_alone(spark):
+    docs = table(spark, TINY, "documents")
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for path, digest in token_files.write(docs, TOKENIZER).select("path", "dictionary_hash").collect():
+        with token_files.TokenFile(path) as file:
+            number = len(file.index) // 2
+            ident = int(file.index[number]["doc_id"])
+            assert file.ids(number).tolist() == [*tokenizer.encode(texts[ident], add_special_tokens=False).ids, 1]
+            assert len(digest) == 64
+
+
+ENCODER = token_files.Encoder(TOKENIZER)
+REFERENCE = Tokenizer.from_file(TOKENIZER)
+PIECES = st.sampled_from(
+    [" ", "\n", "\t", ".", ",", "...", "'s", "'T", "don't", "Ab", "é", "É", "é", "́", "İ", "ß", "ẞ", "Σ", "ς", "12",
+     "²", "\xa0", "\x1f", " ", "<|endoftext|>", "_", "-", "'", "日本", "ﬁ", "\U0001f600", "Ǆ", "‍", "word"]
+)
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.one_of(st.lists(PIECES, max_size=14).map("".join), st.text(max_size=30)))
+def test_words_encode_as_they_do_in_their_text(text):
+    got = np.frombuffer(ENCODER(text), ENCODER.kind).tolist()
+    assert got == REFERENCE.encode(text, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_encode_text_by_text():
+    other = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert other.words is None
+    text = "Two  spaces\nand a line."
+    ids = np.frombuffer(other(text), other.kind).tolist()
+    assert ids == Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+
+
+# --- toxicity -----------------------------------------------------------------------------------
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_the_trie_walk_finds_what_edit_distance_does():
+    rng = random.Random(4)
+    terms = {"".join(rng.choices("abc", k=rng.randint(3, 12))): rng.random() for _ in range(150)}
+    lexicon = toxicity.Lexicon(terms)
+    for _ in range(800):
+        word = "".join(rng.choices("abcd", k=rng.randint(1, 13)))
+        near = [(distance(word, t), -w, t) for t, w in terms.items() if distance(word, t) <= lexicon.edits(t)]
+        best = min(near, default=None)
+        assert lexicon.match(word) == ((best[2], best[0]) if best else None)
+
+
+def test_quotation():
+    quoted = lambda text: [w for w, q in zip(text.split(), toxicity._quoted(text.split())) if q]
+    assert quoted('they said "you fool" and left') == ['"you', 'fool"']
+    assert quoted("a “word”, alone") == ["“word”,"] and quoted('open "never closed') == []
+
+
+@pytest.fixture(scope="module")
+def abuse(spark):
+    """Abuse, its misspelling, its quotation, and clean texts; 600 documents."""
+    rng = random.Random(9)
+    insults = ["nitwit", "dunderhead", "blockhead", "scoundrel"]
+    rows, labels = [], []
+    for i in range(600):
+        words = prose(5000 + i, 40).split()
+        kind = i % 4
+        if kind in (0, 2):
+            term = rng.choice(insults)
+            if i % 3 == 0:
+                at = rng.randrange(1, len(term))
+                term = term[:at] + "z" + term[at + 1 :]
+            at = rng.randrange(len(words))
+            words[at : at + 1] = ["you", term] if kind == 0 else ["reportedly", f'"{term}"']
+        rows.append(doc(i, " ".join(words)))
+        labels.append((i, None, int(kind == 0)))
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_abuse_is_told_from_quotation_and_clean_text(abuse):
+    docs, labels = abuse
+    found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(found) > 80
+    assert np.mean([r["predicted"] == r["toxic"] for r in found]) >= 0.95
+
+
+def test_toxicity_of_messy_rows(messy, nothing, abuse, spark):
+    labels = spark.createDataFrame([(8, 1, 0), (8, 1, 1), (9, 1, 0), (None, 1, 1), (4, 1, None)], "doc_id long, quality int, toxic int")
+    rows = toxicity.toxicity(messy, labels).collect()
+    assert len(rows) == messy.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.toxicity(nothing, labels).count() == 0
+    assert {r["predicted"] for r in toxicity.toxicity(messy, labels.where("false")).collect()} == {0}
+
+
+def test_toxic_test_documents(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
+    found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] == r["toxic"] for r in found]) >= 0.9
