@@ -97,8 +97,8 @@ def _near(left: np.ndarray, right: np.ndarray, same: bool, step: int = 512) -> I
 
 
 def _forest(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple]:
-    """Links that connect what the two lists' near pairs connect: one less than
-    there are members at most, so a list of near-identical members stays short."""
+    """Those of the two lists' near pairs that connect what all of them connect: fewer
+    than there are members, so a list of near-identical members stays short."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -110,12 +110,12 @@ def _forest(left: np.ndarray, right: np.ndarray, same: bool) -> Iterator[tuple]:
         a, b = root(one), root(other)
         if a != b:
             parent[max(a, b)] = min(a, b)
-            yield min(a, b), max(a, b)
+            yield min(one, other), max(one, other)
 
 
 def near_links(prints: DataFrame, list_rows: int = LIST_ROWS) -> DataFrame:
-    """Links (src, dst) between distinct fingerprints that join every pair at most
-    three bits apart, directly or through others of the same posting list.
+    """Links (src, dst) between distinct fingerprints at most three bits apart. Every such
+    pair is linked, directly or through others of the same posting list.
 
     Fingerprints three bits apart share at least five of eight positional bytes.
     The index posts each one under eight sets of three positions with their bytes;
