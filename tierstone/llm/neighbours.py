@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by collision counting over sorted projections.
 
 Each vector is projected on random lines; each line's projections are a sorted array. A
-query looks at a window around its own projection on every line and counts in how many
+query looks at a window around its own projection on every line and counts on how many
 lines a vector lies in the window. Virtual rehashing widens all windows together with the
 radius searched, without building anything anew. Vectors that collide often enough are
 verified by their true product.
@@ -22,9 +22,11 @@ NEAREST = 20
 LINES, WIDTH = 64, 2.719
 #: Of all lines, the share on which a vector has to collide to be verified.
 COLLISIONS = 0.7
-#: By how much virtual rehashing widens the radius.
-WIDEN = 1.2
-DATA_BLOCK, QUERY_BLOCK = 4096, 1024
+#: The first radius, as a share of the distance at which products are zero, and by how
+#: much virtual rehashing widens it.
+START, WIDEN = 0.5, 1.15
+#: Rows in a block; places in a block's sorted arrays take two bytes.
+DATA_BLOCK, QUERY_BLOCK = 16_384, 1024
 SEED = 20
 
 
@@ -51,36 +53,58 @@ class BlockIndex:
         lines = np.random.default_rng(SEED).standard_normal((LINES, vectors.shape[1] + 1))
         self.lines = lines[:, :-1]
         projected = self.lines @ self.vectors.T + lines[:, -1:] * lift
-        self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(projected, self.order, axis=1)
-
-    def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and products of the k nearest found, own id left out."""
-        here = self.lines @ query
-        length = float(query @ query) + self.longest**2
-        radius = 0.25 * np.sqrt(length)
+        order = np.argsort(projected, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(projected, order, axis=1)
+        # A vector's place in each sorted array: it lies in a window if its place does.
+        self.place = np.empty(order.shape, np.uint16)
+        np.put_along_axis(self.place, order, np.arange(len(ids), dtype=np.uint16)[None, :], axis=1)
+
+    def windows(self, here: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per query and line, where the window begins in the sorted array and how many
+        places it has."""
+        begin, size = (np.empty(here.shape, np.uint16) for _ in range(2))
+        for line, values in enumerate(self.sorted):
+            low = np.searchsorted(values, here[:, line] - reach, "left")
+            high = np.searchsorted(values, here[:, line] + reach, "right")
+            # A window behind the last place has no place; it may begin anywhere.
+            begin[:, line], size[:, line] = np.minimum(low, len(values) - 1), high - low
+        return begin, size
+
+    def collisions(self, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """On how many lines each vector lies in a query's windows."""
+        # Places before the window wrap around to large numbers.
+        inside = self.place - begin[:, None] < size[:, None]
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
+        """For each query the ids and products of the k nearest found, own id left out."""
+        here = queries @ self.lines.T
+        length = np.einsum("ij,ij->i", queries, queries) + self.longest**2
+        radius = START * np.sqrt(length)
         need = int(np.ceil(COLLISIONS * LINES))
-        count = np.zeros(len(self.ids), np.int16)
-        low = high = np.array([np.searchsorted(s, x) for s, x in zip(self.sorted, here, strict=True)])
-        product = np.full(len(self.ids), -np.inf)
-        seen = self.ids == query_id
-        while True:
-            reach = WIDTH * radius / 2
-            to = [(np.searchsorted(s, x - reach, "left"), np.searchsorted(s, x + reach, "right"))
-                  for s, x in zip(self.sorted, here, strict=True)]
-            met = [part for o, (a, b), c, d in zip(self.order, to, low, high, strict=True) for part in (o[a:c], o[d:b])]
-            count += np.bincount(np.concatenate(met), minlength=len(count)).astype(np.int16)
-            low, high = (np.array(side) for side in zip(*to, strict=True))
-            new = np.nonzero((count >= need) & ~seen)[0]
-            product[new] = self.vectors[new] @ query
-            seen[new] = True
-            within = np.count_nonzero(length - 2 * product <= radius**2)
-            if within >= k or seen.all():
-                break
-            radius *= WIDEN
-        best = np.lexsort((self.ids, -product))[:k]
-        best = best[product[best] > -np.inf]
-        return self.ids[best], product[best]
+        asked = [self.ids == i for i in query_ids]
+        found: list[tuple] = [None] * len(queries)
+        best = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        open_ = np.arange(len(queries))
+        while len(open_):
+            begin, size = self.windows(here[open_], WIDTH * radius[open_] / 2)
+            still = []
+            for at, q in enumerate(open_.tolist()):
+                count = self.collisions(begin[at], size[at])
+                new = np.nonzero((count >= need) & ~asked[q])[0]
+                asked[q][new] = True
+                rows = np.concatenate((best[q][0], new))
+                score = np.concatenate((best[q][1], self.vectors[new] @ queries[q]))
+                order = np.lexsort((self.ids[rows], -score))[:k]
+                best[q] = rows[order], score[order]
+                near = length[q] - 2 * best[q][1] <= radius[q] ** 2
+                if np.count_nonzero(near) >= k or asked[q].all():
+                    found[q] = self.ids[best[q][0]], best[q][1]
+                else:
+                    still.append(q)
+            open_ = np.array(still, np.int64)
+            radius[open_] *= WIDEN
+        return found
 
 
 def nearest(
@@ -124,8 +148,8 @@ def nearest(
         if asking.any() and not asking.all():
             ids, v = cell["id"].to_numpy(np.int64), np.stack(cell["v"].to_numpy()).astype(float)
             index = BlockIndex(ids[~asking], v[~asking], float(cell["longest"].iat[0]))
-            for query_id, query in zip(ids[asking].tolist(), v[asking], strict=True):
-                near, product = index.nearest(query_id, query, k)
+            answers = index.nearest(ids[asking], v[asking], k)
+            for query_id, (near, product) in zip(ids[asking].tolist(), answers, strict=True):
                 found.append(pd.DataFrame({"query_id": query_id, "vec_id": near, "score": product}))
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
         return pd.concat(found) if found else empty
