@@ -36,18 +36,52 @@ FEATURES = ("exact", "misspelled", "quoted", "context", "strongest", "density")
 WORD_CACHE = 400_000
 
 
+@dataclass
+class _Length:
+    """The terms of one length: their trie, and the pieces that few edits leave intact.
+
+    A term is cut into one piece more than it may have edits. If the first piece is
+    spared the word begins with it, if the last is spared the word ends with it; if both
+    are hit, each by one edit, the middle one stands within one place of where it was.
+    """
+
+    edits: int
+    piece: int
+    trie: dict = field(default_factory=dict)
+    first: set[str] = field(default_factory=set)
+    middle: set[str] = field(default_factory=set)
+    last: set[str] = field(default_factory=set)
+
+    def add(self, term: str) -> None:
+        node = self.trie
+        for letter in term:
+            node = node.setdefault(letter, {})
+        node[""] = term
+        self.first.add(term[: self.piece])
+        self.last.add(term[-self.piece :])
+        if self.edits > 1:
+            self.middle.add(term[self.piece : 2 * self.piece])
+
+    def possible(self, word: str) -> bool:
+        n = self.piece
+        return (
+            word[:n] in self.first
+            or word[-n:] in self.last
+            or self.edits > 1
+            and any(word[at : at + n] in self.middle for at in range(n - 1, n + 2))
+        )
+
+
 class Lexicon:
-    """Terms with weights in a trie; finds the best term for a word, and its distance."""
+    """Terms with weights in tries by length; finds the best term for a word, and its distance."""
 
     def __init__(self, terms: dict[str, float]) -> None:
         self.terms = terms
-        self.root: dict = {}
-        self.starts: dict[int, set[str]] = {}
+        self.lengths: dict[int, _Length] = {}
         for term in terms:
-            node = self.root
-            for letter in term:
-                node = node.setdefault(letter, {})
-            node[""] = term
+            if edits := self.edits(term):
+                own = _Length(edits, len(term) // (edits + 1))
+                self.lengths.setdefault(len(term), own).add(term)
 
     def edits(self, term: str) -> int:
         return next(k for least, k in EDITS_BY_LENGTH if len(term) >= least)
@@ -57,46 +91,46 @@ class Lexicon:
         then the first in the alphabet."""
         if word in self.terms:
             return word, 0
-        most = self.edits(word + "x" * EDITS_BY_LENGTH[0][1])
-        if not most:
-            return None
-        best = min(
-            ((d, -self.terms[t], t) for t, d in self._walk(word, most) if d <= self.edits(t)),
-            default=None,
-        )
+        best = None
+        for length in range(len(word) - 2, len(word) + 3):
+            group = self.lengths.get(length)
+            if group and abs(length - len(word)) <= group.edits and group.possible(word):
+                for term, spent in self._walk(word, group.trie, group.edits):
+                    best = min(best or (spent, math.inf, ""), (spent, -self.terms[term], term))
         return (best[2], best[0]) if best else None
 
-    def _walk(self, word: str, most: int) -> Iterator[tuple[str, int]]:
-        """Intersect the trie with the automaton of all strings within `most` edits of the
-        word. A state of the automaton maps places in the word to edits spent, and holds
-        only live places: a branch whose state is empty is left at once."""
-        stack = [(self.root, {i: i for i in range(min(most, len(word)) + 1)})]
+    def _walk(self, word: str, trie: dict, most: int) -> Iterator[tuple[str, int]]:
+        """Intersect a trie with the automaton of all strings within `most` edits of the
+        word: (term, distance) of every term it accepts.
+
+        The automaton's states are sets of places in the word, one set of bits per
+        number of edits spent: bit i is on if the trie's path so far can stand for the
+        first i letters. A branch whose sets are all empty is left at once.
+        """
+        letters: dict[str, int] = {}
+        for i, letter in enumerate(word):
+            letters[letter] = letters.get(letter, 0) | 1 << i
+        end, whole = 1 << len(word), (2 << len(word)) - 1
+        # Before any letter of the term: i letters of the word are skipped for i edits.
+        stack = [(trie, tuple((2 << d) - 1 & whole for d in range(most + 1)))]
         while stack:
             node, state = stack.pop()
-            if "" in node:
-                left = min((spent + len(word) - i for i, spent in state.items()), default=most + 1)
-                if left <= most:
-                    yield node[""], left
             for letter, below in node.items():
-                if letter and (moved := _step(word, state, letter, most)):
-                    stack.append((below, moved))
-
-
-def _step(word: str, state: dict[int, int], letter: str, most: int) -> dict[int, int]:
-    moved: dict[int, int] = {}
-
-    def reach(place: int, spent: int) -> None:
-        if spent <= most and place <= len(word) and spent < moved.get(place, most + 1):
-            moved[place] = spent
-            reach(place + 1, spent + 1)  # a letter of the word that the term lacks
-
-    for place, spent in state.items():
-        if place < len(word) and word[place] == letter:
-            reach(place + 1, spent)
-        else:
-            reach(place + 1, spent + 1)  # one letter for another
-        reach(place, spent + 1)  # a letter of the term that the word lacks
-    return moved
+                if not letter:
+                    spent = next((d for d, places in enumerate(state) if places & end), None)
+                    if spent is not None:
+                        yield below, spent
+                    continue
+                here, moved, live = letters.get(letter, 0), [], 0
+                for d, places in enumerate(state):
+                    to = (places & here) << 1
+                    if d:
+                        # One letter for another, one that the word lacks, one that the term lacks.
+                        to |= state[d - 1] << 1 | state[d - 1] | moved[d - 1] << 1
+                    moved.append(to & whole)
+                    live |= to
+                if live & whole:
+                    stack.append((below, tuple(moved)))
 
 
 class _WordMatches(dict):
@@ -177,8 +211,8 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
     """Terms far commoner in toxic documents, from rows (text, toxic).
 
     Support counts different surroundings (the words before and after), not documents:
-    copies of one document are one piece of evidence. A term that fewer than one in 250
-    toxic documents has, or that is not in three surroundings, is left out.
+    copies of one document are one piece of evidence. A term that fewer than one in a
+    hundred toxic documents has, or that is not in three surroundings, is left out.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -194,7 +228,7 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
         return in_batches(rows(), _WORDS)
 
     words = drawn.mapInArrow(work, "word string, toxic int, around long")
-    least = max(LEAST_CONTEXTS, math.ceil(toxic / 250))
+    least = max(LEAST_CONTEXTS, math.ceil(toxic / 100))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0))
     found = (
         words.groupBy("word")
