@@ -1,11 +1,15 @@
 """What the physical plans look like when no input is small enough to broadcast."""
 
+import glob
 import re
 
 import pytest
 from conftest import TINY, final_plan
 
+from tierstone.plans import bronze, reports, silver
 from tierstone.registry.queries import QUERIES, _views
+from tierstone.sources import shop_tables
+from tierstone.streaming import clicks
 
 
 @pytest.fixture
@@ -80,3 +84,28 @@ def test_url_is_parsed_once_per_row(spark):
 def test_sales_tables_read_no_users(spark):
     for name in ("item_performance", "top_selling_items", "sales_performance_24h"):
         assert "c_mktsegment" not in final_plan(QUERIES[name](spark, TINY))
+
+
+def test_salted_lookups_join_twice_and_find_hot_keys_before(spark, settings, tmp_path):
+    """Hot keys come from the source facts: no join is planned a second time for them."""
+    settings(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    facts = bronze.purchases(shop_tables.purchases(spark, TINY))
+    users, items = bronze.users(shop_tables.users(spark, TINY)), bronze.items(shop_tables.items(spark, TINY))
+    plan = final_plan(silver.purchases_enriched(facts, users, items, salts=4))
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+
+
+def test_channel_counts_read_no_json(spark):
+    counted = reports.channel_counts(bronze.pageviews(shop_tables.clicks(spark, TINY, whole=False)))
+    plan = final_plan(counted)
+    assert "get_json_object" not in plan and "props" not in plan.split("ReadSchema")[1].splitlines()[0]
+
+
+def test_a_stream_batch_fills_few_files_a_day(spark, tmp_path):
+    log = shop_tables.click_log(spark, TINY).repartition(24)
+    log.write.json(str(tmp_path / "json"))
+    stream = clicks.click_stream(spark, str(tmp_path / "json"))
+    clicks.ingest_available(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"), files_per_day=2)
+    days = glob.glob(str(tmp_path / "out" / "part_received_at=*"))
+    assert len(days) > 20 and all(len(glob.glob(f"{d}/*.parquet")) <= 2 for d in days)
+    assert clicks.read_ingested(spark, str(tmp_path / "out")).count() == log.count()
