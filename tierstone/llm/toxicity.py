@@ -212,7 +212,9 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
 
     Support counts different surroundings (the words before and after), not documents:
     copies of one document are one piece of evidence. A term that fewer than one in a
-    hundred toxic documents has, or that is not in three surroundings, is left out.
+    hundred toxic documents has, or that is not in three surroundings, is left out. Odds
+    are counted as if clean documents had it once more, so that a few chance meetings in
+    toxic documents do not make a term.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -229,7 +231,7 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
 
     words = drawn.mapInArrow(work, "word string, toxic int, around long")
     least = max(LEAST_CONTEXTS, math.ceil(toxic / 100))
-    odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 0.5) / (clean + 1.0))
+    odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 1.5) / (clean + 1.0))
     found = (
         words.groupBy("word")
         .agg(
