@@ -9,6 +9,7 @@ window) decides how much it counts.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -248,8 +249,6 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
 
 
 def hash_of(before: str, after: str) -> int:
-    import zlib
-
     return zlib.crc32(f"{before}\0{after}".encode("utf-8", "replace"))
 
 
