@@ -59,6 +59,10 @@ def test_empty_table_and_single_partition_read_in_one_piece():
     assert len(fake.loads) == 1
 
 
+def test_times_without_zone_are_not_shifted():
+    assert DB.options()["preferTimestampNTZ"] == "true"
+
+
 def test_password_is_not_shown():
     assert "secret" not in repr(DB)
 
