@@ -46,10 +46,9 @@ class WordCache(dict):
     case reach across a space. `bound` limits the entries.
     """
 
-    def __init__(self, tokenizer, kind: str, bound: int = 400_000) -> None:
+    def __init__(self, tokenizer, kind: str, bound: int = 1_000_000) -> None:
         super().__init__()
         self.tokenizer, self.kind, self.bound = tokenizer, kind, bound
-        self.cores: dict[str, bytes] = {"": b""}
 
     def _encoded(self, stretch: str) -> bytes:
         if stretch.isascii() and stretch.isalpha() and stretch.islower():
@@ -59,22 +58,20 @@ class WordCache(dict):
             ids = self.tokenizer.encode(stretch, add_special_tokens=False).ids
         return np.array(ids, self.kind).tobytes()
 
-    def _core(self, stretch: str) -> bytes:
-        found = self.cores.get(stretch)
-        if found is None:
-            if len(self.cores) >= self.bound:
-                self.cores = {"": b""}
-            found = self.cores[stretch] = self._encoded(stretch)
-        return found
-
     def __missing__(self, stretch: str) -> bytes:
         if len(self) >= self.bound:
             self.clear()
-        folded = stretch.lower() if max(stretch, default="") < "\u0130" else stretch
-        if folded[-1:] in (".", ",") and folded[-2:-1].isalnum() and len(folded) > 1:
-            ids = self._core(folded[:-1]) + self._core(folded[-1])
+        lowered = stretch.lower() if max(stretch, default="") < "\u0130" else None
+        if lowered is None:
+            ids = self._encoded(stretch)
+        # Below that letter, lower case goes letter by letter, and a mark after a letter
+        # or digit begins a word of its own.
+        elif len(lowered) > 1 and lowered[-1] in ".," and lowered[-2].isalnum():
+            ids = self[lowered[:-1]] + self[lowered[-1]]
+        elif lowered != stretch:
+            ids = self[lowered]
         else:
-            ids = self._core(folded)
+            ids = self._encoded(stretch)
         self[stretch] = ids
         return ids
 
