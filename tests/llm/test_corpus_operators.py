@@ -39,7 +39,19 @@ def test_gear_hash_is_the_rolling_sum():
         rolled = (2 * rolled + int(chunk_dedup.GEAR[b])) % (1 << 16)
         if rolled >> (16 - chunk_dedup.ZERO_BITS) == 0:
             places.append(i + 1)
-    assert set(chunk_dedup.cuts(data).tolist()) - {len(data)} <= set(places)
+    ends = [0, *chunk_dedup.cuts(data).tolist()]
+    wide = {b for a, b in zip(ends, ends[1:]) if not any(a + chunk_dedup.SMALLEST <= p <= a + chunk_dedup.LARGEST for p in places)}
+    assert set(ends[1:]) - {len(data)} - wide <= set(places)
+
+
+def test_monotonous_text_is_cut_alike_wherever_it_stands():
+    line = b"ding dong " * 60
+    sets = []
+    for before in (b"", b"some words before it and ", prose(5, 40).encode()):
+        data = before + line + prose(6, 40).encode()
+        ends = [0, *chunk_dedup.cuts(data).tolist()]
+        sets.append({data[a:b] for a, b in zip(ends, ends[1:]) if len(before) + 200 < a < len(before) + 500})
+    assert sets[0] & sets[1] & sets[2]
 
 
 def test_shared_passages_are_found_and_nothing_else(spark):

@@ -15,9 +15,9 @@ from tierstone.llm.common import python_values, row_key, small_batches, stored
 
 #: The gear hash of 16 bits remembers 16 bytes; a cut needs five zero bits.
 MEMORY, ZERO_BITS = 16, 5
-SMALLEST, LARGEST = 20, 256
+SMALLEST, LARGEST = 16, 128
 #: Shortest stretch of repeated chunks that counts as a passage, in bytes.
-LEAST_BYTES = 120
+LEAST_BYTES = 80
 
 # One random 16-bit number per byte value, from a rule.
 GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) & 0xFFFF for b in range(256)], np.uint16)
@@ -25,7 +25,9 @@ GEAR = np.array([xxhash.xxh64_intdigest(bytes([b]), 1) & 0xFFFF for b in range(2
 
 def cuts(data: bytes) -> np.ndarray:
     """Ends of the chunks. A place is a cut by its last 16 bytes alone, so an insertion
-    moves the cuts around it and no others; chunks keep to the two sizes."""
+    moves the cuts around it and no others; chunks keep to the two sizes. Where no place
+    qualifies within the largest size, the place of the smallest hash is cut, so that
+    monotonous stretches are cut alike wherever they stand."""
     if not data:
         return np.empty(0, np.int64)
     rolled = GEAR[np.frombuffer(data, np.uint8)]
@@ -33,17 +35,21 @@ def cuts(data: bytes) -> np.ndarray:
     while shift < min(MEMORY, len(rolled)):  # 2 * shift bytes' numbers from two halves
         rolled[shift:] += rolled[:-shift] << np.uint16(shift)
         shift *= 2
+
+    def least(last: int) -> int:
+        return last + SMALLEST + int(np.argmin(rolled[last + SMALLEST - 1 : last + LARGEST]))
+
     places = np.nonzero(rolled >> np.uint16(16 - ZERO_BITS) == 0)[0] + 1
     ends, last = [], 0
     for place in places.tolist():
         while place - last > LARGEST:
-            last += LARGEST
+            last = least(last)
             ends.append(last)
         if place - last >= SMALLEST:
             last = place
             ends.append(last)
     while len(data) - last > LARGEST:
-        last += LARGEST
+        last = least(last)
         ends.append(last)
     if last < len(data):
         ends.append(len(data))
@@ -51,13 +57,14 @@ def cuts(data: bytes) -> np.ndarray:
 
 
 _CHUNKS = pa.schema(
-    [("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("n", pa.int32()),
-     ("start", pa.int64()), ("end", pa.int64()), ("digest_a", pa.int64()), ("digest_b", pa.int64())]
+    [("doc_id", pa.int64()), ("row_a", pa.int64()), ("n", pa.int32()), ("span", pa.int64()),
+     ("digest_a", pa.int64()), ("digest_b", pa.int64())]
 )
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every chunk of every text: its number, byte offsets and a 128-bit digest."""
+    """Every chunk of every text: its number, its span (byte offset times 256, plus its
+    length) and a 128-bit digest. `row_a` is a hash of the row's id and text."""
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,28 +82,31 @@ def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
                 count = len(ends)
                 columns = [pa.array([k] * count, pa.int64()) for k in keys]
-                columns += [pa.array(np.arange(count, dtype=np.int32)), pa.array(starts), pa.array(ends)]
+                columns += [pa.array(np.arange(count, dtype=np.int32)), pa.array(starts * 256 + ends - starts)]
                 columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, schema=_CHUNKS)
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *row_key(doc_id, text), F.col(text).cast("binary"))
-    kinds = "doc_id long, row_a long, row_b long, n int, start long, end long, digest_a long, digest_b long"
+    row_a = row_key(doc_id, text)[0]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_a, F.col(text).cast("binary"))
+    kinds = "doc_id long, row_a long, n int, span long, digest_a long, digest_b long"
     return rows.mapInArrow(work, kinds)
 
 
 def repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_bytes: int = LEAST_BYTES
 ) -> DataFrame:
-    """Passages that other documents have too: doc_id, row_a, row_b, start, end (bytes of
-    the UTF-8 text), first_doc_id (the smallest id that has its chunks), documents (how many
-    rows have the rarest of its chunks, approximately) and keep.
+    """Passages that other documents have too: doc_id, row_a, start, end (bytes of the UTF-8
+    text), first_doc_id (the smallest id that has its chunks), occurrences (of the rarest
+    of its chunks in the whole table) and keep.
 
     A passage is an unbroken run of chunks each of which also stands in another document,
     of `least_bytes` at least. It reaches from its first cut to its last, so up to a chunk
-    at either side of what is really common is not in it; passages of over fifty words are
-    always longer than what is lost. `keep` is true where no smaller id has them all.
-    Rows equal in id and text are one document. NULL and empty texts have no chunk.
-    NULL ids come after all others. Other columns are left out.
+    at either side of what is really common is not in it. `keep` is true where no smaller
+    id has them all. Rows equal in id and text are one document. NULL and empty texts have
+    no chunk. NULL ids come after all others. Other columns are left out.
+
+    A chunk that a third of all documents share is one partial sum per task where chunks are
+    counted; where counts are joined back, adaptive execution splits its partition.
     """
     every = stored(chunks(docs, doc_id, text), "chunks")
     digest = ["digest_a", "digest_b"]
@@ -104,39 +114,40 @@ def repeats(
         every.groupBy(*digest)
         .agg(
             F.min("row_a").alias("low"), F.max("row_a").alias("high"), F.min("doc_id").alias("first"),
-            F.approx_count_distinct("row_a").alias("documents"),
+            F.count("*").alias("n_all"),
         )
         .where("low <> high")
         .drop("low", "high")
     )
     met = every.join(shared, digest).drop(*digest)
-    row = ["doc_id", "row_a", "row_b"]
+    row = ["doc_id", "row_a"]
     by_number = Window.partitionBy(*row).orderBy("n")
     # Rows equal in id and text repeat each chunk number: rank them as one.
     run = (F.col("n") - F.dense_rank().over(by_number)).alias("run")
+    start, length = F.shiftright("span", 8), F.col("span") % 256
     runs = met.select("*", run).groupBy(*row, "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.max("first").alias("first_doc_id"),
-        F.min("documents").alias("documents"),
+        F.min(start).alias("start"), F.max(start + length).alias("end"), F.max("first").alias("first_doc_id"),
+        F.min("n_all").alias("occurrences"),
     )
     kept = F.coalesce(F.col("first_doc_id") >= F.col("doc_id"), F.col("first_doc_id").isNull())
     return runs.where(F.col("end") - F.col("start") >= least_bytes).select(
-        *row, "start", "end", "first_doc_id", "documents", kept.alias("keep")
+        *row, "start", "end", "first_doc_id", "occurrences", kept.alias("keep")
     )
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with repeated passages cut out of all texts but the one of smallest id."""
-    spans = repeats(docs, doc_id, text).where("NOT keep").groupBy("row_a", "row_b").agg(
-        F.collect_set(F.struct("start", "end")).alias("__spans")
-    )
-    spans = spans.withColumnsRenamed({"row_a": "__row_a", "row_b": "__row_b"})
-    a, b = row_key(doc_id, text)
+    cuts_of = F.collect_set(F.struct("start", "end")).alias("__spans")
+    spans = repeats(docs, doc_id, text).where("NOT keep").groupBy("doc_id", "row_a").agg(cuts_of)
+    spans = spans.withColumnsRenamed({"doc_id": "__id", "row_a": "__row_a"})
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
         return pd.Series([_without(t, s) for t, s in zip(texts, found, strict=True)], dtype=object)
 
-    keyed = docs.withColumns({"__row_a": a, "__row_b": b}).join(spans, ["__row_a", "__row_b"], "left")
+    keyed = docs.withColumn("__row_a", row_key(doc_id, text)[0])
+    same = (keyed["__row_a"] == spans["__row_a"]) & F.col(doc_id).cast("long").eqNullSafe(F.col("__id"))
+    keyed = keyed.join(spans, same, "left")
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text]
     made = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut(F.col(text), F.col("__spans")))
     return keyed.select(*kept, made.alias(text)).select(*(F.col(f"`{c}`") for c in docs.columns))
