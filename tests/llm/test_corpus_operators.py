@@ -70,6 +70,20 @@ def test_shared_passages_are_found_and_nothing_else(spark):
         assert r["keep"] == (r["doc_id"] == r["first_doc_id"]) and r["first_doc_id"] == 1 + 2 * (r["doc_id"] // 2 % 5)
 
 
+def test_an_older_passage_in_the_first_of_a_copy_group(spark):
+    older, whole = prose(70, 60), prose(71, 80)
+    text = f"{whole[:250]} {older} {whole[250:]}"
+    docs = spark.createDataFrame([(1, older), (2, text), (9, text)], "doc_id long, text string")
+    found = chunk_dedup.repeats(docs).collect()
+    mine = sorted((r for r in found if r["doc_id"] == 2), key=lambda r: r["start"])
+    assert mine[0]["start"] == 0 and mine[-1]["end"] == len(text) and all(a["end"] == b["start"] for a, b in zip(mine, mine[1:]))
+    assert [(r["first_doc_id"], r["occurrences"], r["keep"]) for r in mine] == [(2, 2, True), (1, 3, False), (2, 2, True)]
+    assert mine[1]["end"] - mine[1]["start"] > 0.6 * len(older) and text[mine[1]["start"] : mine[1]["end"]] in f" {older} "
+    assert {(r["first_doc_id"], r["keep"]) for r in found if r["doc_id"] == 9} == {(1, False), (2, False)}
+    left = {r["doc_id"]: r["text"] for r in chunk_dedup.without_repeats(docs).collect()}
+    assert left[1] == older and len(left[2]) < len(text) - 0.6 * len(older) and left[9] == ""
+
+
 def test_repeats_in_messy_rows(messy, nothing):
     found = chunk_dedup.repeats(messy)
     assert {r["doc_id"] for r in found.collect()} == {8, 9, None}

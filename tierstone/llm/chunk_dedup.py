@@ -96,12 +96,14 @@ def repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_bytes: int = LEAST_BYTES
 ) -> DataFrame:
     """Passages that other documents have too: doc_id, row_a, start, end (bytes of the UTF-8
-    text), first_doc_id (the smallest id that has its chunks), occurrences (of the rarest
+    text), first_doc_id (the smallest id that has each of its chunks), occurrences (of the rarest
     of its chunks in the whole table) and keep.
 
-    A passage is an unbroken run of chunks each of which also stands in another document,
-    of `least_bytes` at least. It reaches from its first cut to its last, so up to a chunk
-    at either side of what is really common is not in it. `keep` is true where no smaller
+    Chunks that also stand in another document are repeated; an unbroken run of them counts
+    from `least_bytes` on, measured as a whole. A passage is the part of such a run whose
+    chunks have the same first id, however short, so that what an older document has is told
+    from what begins here. It reaches from its first cut to its last, so up to a chunk at
+    either side of what is really common is not in it. `keep` is true where no smaller
     id has them all. Rows equal in id and text are one document. NULL and empty texts have
     no chunk. NULL ids come after all others. Other columns are left out.
 
@@ -121,17 +123,18 @@ def repeats(
     )
     met = every.join(shared, digest).drop(*digest)
     row = ["doc_id", "row_a"]
-    by_number = Window.partitionBy(*row).orderBy("n")
     # Rows equal in id and text repeat each chunk number: rank them as one.
-    run = (F.col("n") - F.dense_rank().over(by_number)).alias("run")
+    island = lambda *of: F.col("n") - F.dense_rank().over(Window.partitionBy(*of).orderBy("n"))
+    met = met.withColumn("run", island(*row)).withColumn("part", island(*row, "first"))
     start, length = F.shiftright("span", 8), F.col("span") % 256
-    runs = met.select("*", run).groupBy(*row, "run").agg(
-        F.min(start).alias("start"), F.max(start + length).alias("end"), F.max("first").alias("first_doc_id"),
-        F.min("n_all").alias("occurrences"),
-    )
-    kept = F.coalesce(F.col("first_doc_id") >= F.col("doc_id"), F.col("first_doc_id").isNull())
-    return runs.where(F.col("end") - F.col("start") >= least_bytes).select(
-        *row, "start", "end", "first_doc_id", "occurrences", kept.alias("keep")
+    parts = met.groupBy(*row, "run", "first", "part").agg(
+        F.min(start).alias("start"), F.max(start + length).alias("end"), F.min("n_all").alias("occurrences")
+    )
+    whole = Window.partitionBy(*row, "run")
+    parts = parts.withColumn("run_bytes", F.max("end").over(whole) - F.min("start").over(whole))
+    kept = F.coalesce(F.col("first") >= F.col("doc_id"), F.col("first").isNull())
+    return parts.where(F.col("run_bytes") >= least_bytes).select(
+        *row, "start", "end", F.col("first").alias("first_doc_id"), "occurrences", kept.alias("keep")
     )
 
 
