@@ -331,3 +331,23 @@ def test_toxic_test_documents(spark):
     docs, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
     found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r["predicted"] == r["toxic"] for r in found]) >= 0.9
+
+
+def test_a_broad_vocabulary_of_rare_terms_is_learned(spark):
+    """150 terms, each in 0.7 % of the toxic documents, and a tail of words met a few times."""
+    rng = random.Random(12)
+    made = lambda: "".join(rng.choices("bcdfglmnprstaeiou", k=9))
+    terms, tail = [made() for _ in range(150)], [made() for _ in range(4000)]
+    rows, labels = [], []
+    for i in range(7000):
+        words = [*prose(90000 + i, 12).split(), rng.choice(tail)]
+        if i % 2:
+            words[rng.randrange(12)] = terms[i // 2 % 150]
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    learned = set(toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id")))).lexicon.terms)
+    assert len(learned & set(terms)) > 0.9 * len(terms) and len(learned - set(terms)) < 0.2 * len(learned)
+    found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] for r in found if r["toxic"]]) > 0.9
+    assert np.mean([r["predicted"] for r in found if not r["toxic"]]) < 0.1

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import fold, in_batches, python_values, share, small_batches
+from tierstone.llm.common import fold, in_batches, python_values, share, small_batches, stored
 
 #: About so many labelled documents of each label are learned from.
 SAMPLE_DOCUMENTS = 3000
@@ -28,6 +28,8 @@ MAX_TERMS = 5000
 #: A term is met in so many different surroundings in toxic documents at least, and is so
 #: many times (log) likelier there.
 LEAST_CONTEXTS, LEAST_LOG_ODDS = 3, 2.5
+#: Of the terms let in by their evidence, chance would have made so large a share at most.
+CHANCE_SHARE = 0.1
 #: One edit is allowed in terms of five letters, two in terms of ten.
 EDITS_BY_LENGTH = ((10, 2), (5, 1), (0, 0))
 WINDOW = 5
@@ -212,10 +214,10 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
     """Terms far commoner in toxic documents, from rows (text, toxic).
 
     Support counts different surroundings (the words before and after), not documents:
-    copies of one document are one piece of evidence. A term that fewer than one in a
-    hundred toxic documents has, or that is not in three surroundings, is left out. Odds
-    are counted as if clean documents had it once more, so that a few chance meetings in
-    toxic documents do not make a term.
+    copies of one document are one piece of evidence. A term needs three of them, however
+    large the sample is. It enters if its odds reach the least ones even as if clean
+    documents had it once more, or if they reach them as counted and the word's
+    likelihood ratio is one that chance seldom gives (see `_least_evidence`).
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -231,23 +233,73 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
         return in_batches(rows(), _WORDS)
 
     words = drawn.mapInArrow(work, "word string, toxic int, around long")
-    least = max(LEAST_CONTEXTS, math.ceil(toxic / 100))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1.0)) - F.log((F.col("c") + 1.5) / (clean + 1.0))
-    found = (
+    around = lambda label: F.approx_count_distinct(F.when(F.col("toxic") == label, F.col("around")))
+    counted = stored(
         words.groupBy("word")
         .agg(
             F.count_if(F.col("toxic") == 1).alias("t"),
             F.count_if(F.col("toxic") == 0).alias("c"),
-            F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("around"),
+            around(1).alias("around"),
+            around(0).alias("around_clean"),
         )
-        .withColumn("odds", odds)
-        .where((F.col("around") >= least) & (F.col("odds") >= LEAST_LOG_ODDS))
+        .withColumn("odds", odds),
+        "words",
+    )
+    pairs = counted.groupBy("around", "around_clean").count().toPandas()
+    t, c = F.col("around").cast("double"), F.col("around_clean").cast("double")
+    enough = _likelier(t, c, toxic, clean) & (_evidence(t, c, toxic, clean, F) >= _least_evidence(pairs, toxic, clean))
+    found = (
+        counted.where((F.col("around") >= LEAST_CONTEXTS) & ((F.col("odds") >= LEAST_LOG_ODDS) | enough))
         .orderBy(F.desc(F.col("odds") * F.col("around")), "word")
         .limit(max_terms)
     )
     return Lexicon({r["word"]: float(r["odds"]) for r in found.collect()})
 
 
+def _likelier(t, c, toxic: int, clean: int):
+    return t * (clean + 1.0) >= c * ((toxic + 1.0) * math.exp(LEAST_LOG_ODDS))
+
+
+def _evidence(t, c, toxic: int, clean: int, lib=np):
+    """Log likelihood ratio of t toxic and c clean surroundings against an even spread."""
+    part = (toxic + 1.0) / (toxic + clean + 2.0)
+    log = lambda x: lib.log(lib.greatest(x, F.lit(1e-9)) if lib is F else np.maximum(x, 1e-9))
+    return t * (log(t) - log((t + c) * part)) + c * (log(c) - log((t + c) * (1 - part)))
+
+
+def _least_evidence(pairs: pd.DataFrame, toxic: int, clean: int) -> float:
+    """The least evidence from which on chance would make a CHANCE_SHARE of the words at most.
+
+    Were no word toxic, those met n times would fall to toxic documents by a binomial
+    draw; its tail, summed over all words, says how many pass a given evidence. Rare
+    words weigh in as many as there are, so the bar follows the vocabulary and not the
+    size of the sample. `pairs` holds the number of words by their surroundings.
+    """
+    part = (toxic + 1.0) / (toxic + clean + 2.0)
+    by_n = pairs.groupby(pairs["around"] + pairs["around_clean"])["count"].sum()
+    by_n = by_n[by_n.index >= LEAST_CONTEXTS]
+    chance, share_of = [], []
+    factorials = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, max(by_n.index, default=0) + 1)))))
+    for n, many in by_n.items():
+        t = np.arange(LEAST_CONTEXTS, n + 1)
+        t = t[_likelier(t, n - t, toxic, clean)]
+        drawn = factorials[n] - factorials[t] - factorials[n - t] + t * math.log(part) + (n - t) * math.log(1 - part)
+        chance.append(_evidence(t, n - t, toxic, clean))
+        share_of.append(many * np.exp(drawn))
+    met = pairs[(pairs["around"] >= LEAST_CONTEXTS) & _likelier(pairs["around"], pairs["around_clean"], toxic, clean)]
+    if not len(met):
+        return math.inf
+    chance, share_of = np.concatenate(chance), np.concatenate(share_of)
+    # A little less, so that sums in another order do not decide.
+    bars = _evidence(met["around"].to_numpy(float), met["around_clean"].to_numpy(float), toxic, clean) - 1e-6
+    above = lambda values, weights: (np.sort(values), np.append(np.cumsum(weights[np.argsort(values)][::-1])[::-1], 0.0))
+    (at, by_chance), (own, words) = above(chance, share_of), above(bars, met["count"].to_numpy(float))
+    expected, number = by_chance[np.searchsorted(at, bars)], words[np.searchsorted(own, bars)]
+    passing = bars[expected <= CHANCE_SHARE * number]
+    return float(passing.min(initial=math.inf))
+
+
 def hash_of(before: str, after: str) -> int:
     return zlib.crc32(f"{before}\0{after}".encode("utf-8", "replace"))
 
