@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from llm_data import TINY, messy, nothing  # noqa: F401
+from llm_data import TINY, messy, nothing, prose  # noqa: F401
 
 from tierstone.llm import language
 from tierstone.llm.common import table
@@ -53,3 +53,14 @@ def test_l1_keeps_weights_sparse(spark):
     assert 0 < np.count_nonzero(model.weights) < 0.5 * model.weights.size
     assert model.temperature > 0 and model.languages == ["de", "en", "es", "fr"]
     assert model.predict("the of and is to")[1] == pytest.approx(1.0, abs=0.6)
+
+
+def test_copies_neither_hide_a_language_nor_swell_the_sample(spark, monkeypatch):
+    few = [prose(300 + i, 30).upper().translate(str.maketrans("AEIOU", "ÀÉÎÖÜ")) for i in range(3)]
+    rows = [(few[i % 3], "xx") for i in range(1800)] + [(prose(400 + i, 30), "yy") for i in range(200)]
+    rows += [(prose(400, 30), "yy")] * 500
+    seen, examples = [], language._examples
+    monkeypatch.setattr(language, "_examples", lambda *given: seen.append(examples(*given)) or seen[-1])
+    model = language.train(spark.createDataFrame(rows, "text string, lang string").repartition(4), sample=20)
+    assert [sum(truth == k for _, _, truth in seen[0]) for k in (0, 1)] == [3, 20]
+    assert [model.predict(t)[0] for t in few] == ["xx"] * 3 and model.predict(prose(900, 30))[0] == "yy"

@@ -12,12 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import fold, in_batches, python_values, share, small_batches
+from tierstone.llm.common import fold, in_batches, python_values, share, small_batches, stored
 
 UNKNOWN = "und"
 #: n-grams of one to three characters are hashed into so many features.
 GRAMS, FEATURES = (1, 2, 3), 1 << 14
-#: Labelled documents the weights are fitted to, about so many of each language.
+#: Labelled texts the weights are fitted to, so many of each language at most.
 SAMPLE_DOCUMENTS = 1200
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 1e-3, 1e-3
 #: Part of the sample kept for the temperature.
@@ -101,15 +101,20 @@ def document_frequencies(texts: DataFrame, text: str = "text") -> tuple[np.ndarr
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE_DOCUMENTS) -> Model:
     """Fit to rows with a text and a language; nothing else of a row is looked at.
 
-    Document frequencies are counted over all rows. Weights are fitted on a sample of
-    about `sample` documents of each language, drawn by a hash of the text: equal texts
-    are drawn together. With no row to learn from the model answers `und` only.
+    Document frequencies are counted over all rows. Weights are fitted on `sample`
+    different texts of each language, or all where it has fewer: those of the smallest
+    hashes. Rows equal in text and language are one example, so copies neither keep a
+    language out nor swell the sample. A language with more rows than texts is fitted to
+    its texts in turn, as often as it has rows, up to `sample`. With no row to learn from
+    the model answers `und` only.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(text).alias("text"), F.col(lang).alias("lang")
     )
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    keys = stored(rows.groupBy("lang", share(F.col("text")).alias("draw")).count(), "draws")
+    totals = keys.groupBy("lang").agg(F.count("*"), F.sum("count")).collect()
+    counts, copies = ({r[0]: r[k] for r in totals} for k in (1, 2))
     languages = sorted(counts)
     seen, n = document_frequencies(rows) if languages else (np.zeros(FEATURES), 0)
     model = Model(
@@ -118,20 +123,38 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: i
     )
     if not languages:
         return model
-    rates = F.create_map(*(F.lit(v) for name in languages for v in (name, min(1.0, sample / counts[name]))))
-    drawn = rows.where(share(F.col("text")) < rates[F.col("lang")])
+    by_language = lambda values: F.create_map(*(F.lit(v) for pair in values.items() for v in pair))[F.col("lang")]
+    # Twice as many as needed and some more, so that enough remain to take the smallest of.
+    rates = {name: min(1.0, (2 * sample + 50) / counts[name]) for name in languages}
+    draws: dict[str, list[float]] = {name: [] for name in languages}
+    for name, draw in keys.where(F.col("draw") < by_language(rates)).select("lang", "draw").collect():
+        draws[name].append(draw)
+    last = {name: sorted(found)[:sample][-1] for name, found in draws.items()}
+    drawn = rows.where(share(F.col("text")) <= by_language(last))
     examples = _examples(drawn, model)
-    kept = max(1, round(CALIBRATION_SHARE * len(examples))) if len(examples) > 1 else 0
-    _follow_the_leader(model, examples[kept:])
-    model.temperature = _temperature(model, examples[:kept])
+    placed, kept = [], []
+    for k, name in enumerate(languages):
+        own = [e for e in examples if e[2] == k]
+        aside = int(CALIBRATION_SHARE * len(own))  # none of fewer than five
+        kept += own[:aside]
+        fitted, times = own[aside:], min(sample, copies[name]) - aside
+        times = max(times, len(fitted))
+        placed += [((i + 0.5) / times, k, fitted[i % len(fitted)]) for i in range(times)]
+    _follow_the_leader(model, [e for *_, e in sorted(placed, key=lambda x: x[:2])])
+    model.temperature = _temperature(model, kept)
     return model
 
 
 def _examples(drawn: DataFrame, model: Model) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Feature vectors of the sample, made in the tasks, in an order drawn by hash."""
+    """Feature vectors of the sample's different rows, made in the tasks, in an order drawn
+    by hash. A task makes each once; what several tasks made is merged before the driver."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
+            made = set()
             for content, name, order in python_values(batches):
+                if (name, order) in made:
+                    continue
+                made.add((name, order))
                 found, x = model.features(content)
                 yield found.tobytes(), x.astype(np.float32).tobytes(), name, order
 
@@ -140,7 +163,7 @@ def _examples(drawn: DataFrame, model: Model) -> list[tuple[np.ndarray, np.ndarr
 
     made = drawn.select("text", "lang", F.xxhash64(F.lit("order"), "text")).mapInArrow(
         work, "f binary, x binary, lang string, o long"
-    )
+    ).dropDuplicates(["o", "lang"])
     number = {name: i for i, name in enumerate(model.languages)}
     rows = sorted(made.collect(), key=lambda r: (r["o"], r["lang"]))
     return [
