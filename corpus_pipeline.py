@@ -31,7 +31,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled so that sources, languages and topics have their weights."""
+    """Documents sampled towards the weights of sources, languages and topics, each once:
+    what a weight above 1 asks for beyond that is not delivered."""
     return mixing.sampled(docs)
 
 
