@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tierstone.llm import (
-    chunk_dedup, decontaminate, hash_tree, language, mixing, neighbours, quality, simhash, token_files, toxicity,
+    chunk_dedup, decontaminate, hard_negatives, hash_tree, language, mixing, neighbours, quality, simhash, token_files, toxicity,
 )
 from tierstone.llm.common import table
 
@@ -88,6 +88,13 @@ def op10_decontamination(spark, sf_dir):
     )
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(
+        hard_negatives.relabelled(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 50 == 0
+    )
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
@@ -96,6 +103,7 @@ def pipeline(spark, sf_dir):
 ORACLES: dict[str, str] = {
     "op1_hash_tree": hash_tree.oracle(SHARDS),
     "op5_mixing": mixing.oracle(),
+    "op11_hard_negatives": hard_negatives.oracle(),
 }
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
