@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tierstone.llm import (
-    chunk_dedup, decontaminate, fingerprints, hard_negatives, hash_tree, language, mixing, neighbours, quality, simhash, token_files, toxicity,
+    chunk_dedup, conversations, decontaminate, fingerprints, hard_negatives, hash_tree, language, mixing, neighbours, quality, simhash, token_files, toxicity,
 )
 from tierstone.llm.common import table
 
@@ -95,6 +95,12 @@ def op11_hard_negatives(spark, sf_dir):
     )
 
 
+@query
+def op12_auction_repair(spark, sf_dir):
+    damaged, dropped = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.repair(damaged, dropped=dropped)
+
+
 @query
 def op13_minhash(spark, sf_dir):
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
@@ -109,6 +115,7 @@ ORACLES: dict[str, str] = {
     "op1_hash_tree": hash_tree.oracle(SHARDS),
     "op5_mixing": mixing.oracle(),
     "op11_hard_negatives": hard_negatives.oracle(),
+    "op12_auction_repair": conversations.oracle(),
     "op13_minhash": fingerprints.oracle(),
 }
 if corpus_pipeline.ORACLE_SQL:
