@@ -2,13 +2,14 @@
 
 import hashlib
 import re
+import zlib
 
 import pytest
 from llm_data import SCHEMA, TINY, doc, messy, nothing, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from tierstone.llm import fingerprints, queries
-from tierstone.llm.fingerprints import BINS, PRIME, _constant
+from tierstone.llm.fingerprints import BINS, PRIME, _constant, _order
 
 
 def shingles(text):
@@ -20,15 +21,14 @@ def plain_print(text):
     """The fingerprint, bin by bin."""
     bins = {}
     for s in shingles(text):
-        h = int(hashlib.md5(s.encode()).hexdigest()[:15], 16)
-        bins[h >> 53] = min(h, bins.get(h >> 53, h))
+        h = sum(zlib.crc32(w.encode()) * _constant("word", k) for k, w in enumerate(s.split(" "))) % PRIME
+        bins[h >> 24] = min(h, bins.get(h >> 24, h))
     if not bins:
         return "00" * BINS
     found = ""
     for b in range(BINS):
-        order = lambda o: ((o + 1) * _constant("turn", b) + _constant("shift", b)) % PRIME * BINS + o
-        v = bins[b] if b in bins else bins[min(bins, key=order)]
-        found += f"{(v % PRIME * _constant('factor', b) + _constant('offset', b)) % PRIME % 256:02x}"
+        v = bins[b] if b in bins else bins[min(bins, key=lambda o: _order(b, o))]
+        found += f"{(v * _constant('factor', b) + _constant('offset', b)) % PRIME % 256:02x}"
     return found
 
 
@@ -106,6 +106,14 @@ def test_likeness_estimates_shared_shingles(spark):
     assert max(map(abs, errors)) < 0.15 and abs(sum(errors) / len(errors)) < 0.02
 
 
+def test_packing_is_undone(spark):
+    df = fingerprints.with_fingerprint(spark.createDataFrame([("",), (prose(1, 9),), (prose(2, 900),)], "a string"), "a", "f")
+    packed = fingerprints.packed(F.col("f"))
+    found = df.select("a", "f", packed.alias("p"), fingerprints.unpacked(packed).alias("u")).collect()
+    for row in found:
+        assert row["p"] == plain_print(row["a"]) and row["u"] == row["f"]
+
+
 def test_short_and_unrelated_texts_are_not_alike(spark):
     rows = spark.createDataFrame([(f"a{i} b{i}", f"c{i}") for i in range(300)], "a string, b string")
     rows = fingerprints.with_fingerprint(fingerprints.with_fingerprint(rows, "a", "fa"), "b", "fb")

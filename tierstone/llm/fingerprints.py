@@ -11,6 +11,7 @@ The share of equal places, corrected for places that agree by chance, is the lik
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,15 +20,17 @@ from tierstone.llm.common import stored
 from tierstone.operators.once import with_once
 
 SHINGLE = 5
-#: 2^7 bins; hashes have 60 bits, of which the first 7 name the bin.
-BIN_BITS, HASH_BITS = 7, 60
+#: 2^7 bins; hashes have 31 bits, of which the first 7 name the bin.
+BIN_BITS, HASH_BITS = 7, 31
 BINS = 1 << BIN_BITS
 #: Low-order bits kept of each bin, two hexadecimal digits.
 KEPT_BITS = 8
 CHANCE = 1 / (1 << KEPT_BITS)
 PRIME = 2147483647
+#: Bins that an empty bin asks before it puts all filled ones in order; speed only.
+FIRST_ASKED = 16
 
-BLANKS = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 #: Blocks of documents in order, per shuffle partition, and at most: their first keys are sent to every task.
 BLOCKS_PER_PARTITION, MOST_BLOCKS = 4, 65_536
 #: Equal rows that make up this share of the table are counted instead of moved; at most 1 / share such groups.
@@ -41,69 +44,92 @@ def _constant(role: str, number: int) -> int:
     return 1 + int(hashlib.md5(f"{role}/{number}".encode()).hexdigest()[:7], 16)
 
 
+def _numbers(values: Iterable[int]) -> Column:
+    """A constant array, given as one text."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
 def _constants(role: str) -> Column:
-    return F.array(*(F.lit(_constant(role, b)).cast("long") for b in range(BINS)))
+    return _numbers(_constant(role, b) for b in range(BINS))
+
+
+def _order(empty: int, other: int) -> int:
+    """Where a bin stands in the order in which an empty bin asks the others; all differ."""
+    return ((other + 1) * _constant("turn", empty) + _constant("shift", empty)) % PRIME * BINS + other
 
 
 def _bin(value: Column) -> Column:
     return F.shiftright(value, HASH_BITS - BIN_BITS)
 
 
+def _shingle_hashes(words: Column) -> Column:
+    """Of an array of word checksums: for each run of five words (all, if fewer) a sum with a
+    factor per place, modulo a prime; a missing word adds nothing."""
+    total = F.transform(words, lambda w: w * F.lit(_constant("word", 0)))
+    for k in range(1, SHINGLE):
+        factor = F.lit(_constant("word", k))
+        later = F.slice(words, k + 1, F.size(words))
+        total = F.zip_with(total, later, lambda t, w: t + F.coalesce(w, F.lit(0)) * factor)  # noqa: B023
+    whole = F.least(F.size(words), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1)))
+    return F.transform(F.slice(total, F.lit(1), whole), lambda t: t % PRIME)
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add the fingerprint of a text column, which must not be NULL.
+    """Add the fingerprint of a text column, which must not be NULL, as an array with one code
+    per bin: the bin's number, then the low-order bits kept of it. `packed` makes a text of it.
 
     Words are what stands between blanks. Shingles are five words, or all words of a text with
-    fewer. A text without words has the fingerprint of zeros, like any other such text.
+    fewer. A text without words has the bits zero in every bin, like any other such text.
     """
     own = lambda part: f"__{name}_{part}"
-    words, hashes, least, bins = (F.col(own(x)) for x in ("words", "hashes", "least", "bins"))
-    df = with_once(df, own("words"), F.filter(F.split(F.col(text), BLANKS), lambda w: w != ""))
-
-    def hashed(first: Column) -> Column:
-        shingle = F.array_join(F.slice(words, first, SHINGLE), " ")
-        return F.conv(F.substring(F.md5(shingle), 1, HASH_BITS // 4), 16, 10).cast("long")
-
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1)))
-    none = F.array().cast("array<bigint>")
-    df = with_once(df, own("hashes"), F.when(F.size(words) > 0, F.sort_array(F.transform(starts, hashed))).otherwise(none))
+    hashes, least, bins = (F.col(own(x)) for x in ("hashes", "least", "bins"))
+    words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
+    df = with_once(df, own("words"), F.transform(words, lambda w: F.crc32(w.cast("binary"))))
+    df = with_once(df, own("hashes"), F.sort_array(_shingle_hashes(F.col(own("words")))))
     first_of_bin = F.filter(hashes, lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(hashes, i - 1))))
     df = with_once(df, own("least"), first_of_bin)
     df = with_once(df, own("bins"), F.transform(least, _bin))
 
-    turn, shift = _constants("turn"), _constants("shift")
+    turn, shift, factor, offset = map(_constants, ("turn", "shift", "factor", "offset"))
+    first = _numbers(o for b in range(BINS) for o in sorted(range(BINS), key=lambda o: _order(b, o))[:FIRST_ASKED])
+    at = lambda table, place: F.get(table, place.cast("int"))
 
-    def at(place: Column) -> Column:
-        return F.get(least, (F.array_position(bins, place) - 1).cast("int"))
+    def code(value: Column, place: Column) -> Column:
+        mixed = (value * at(factor, place) + at(offset, place)) % PRIME % (1 << KEPT_BITS)
+        return (place * (1 << KEPT_BITS) + mixed).cast("int")
 
-    def lent(place: Column) -> Column:
-        """The value of the filled bin that is first in this bin's order."""
-        a, c = F.get(turn, place.cast("int")), F.get(shift, place.cast("int"))
-        order = F.transform(bins, lambda other: ((other + 1) * a + c) % PRIME * BINS + other)
-        return at(F.array_min(order) % BINS)
+    def lender(place: Column) -> Column:
+        """The filled bin that is first in this bin's order: mostly among the first asked."""
+        asked = F.array_intersect(F.slice(first, (place * FIRST_ASKED + 1).cast("int"), FIRST_ASKED), bins)
+        order = F.transform(bins, lambda o: ((o + 1) * at(turn, place) + at(shift, place)) % PRIME * BINS + o)
+        return F.coalesce(F.get(asked, F.lit(0)), F.array_min(order) % BINS)
 
-    factor, offset = _constants("factor"), _constants("offset")
-
-    def digits(value: Column, place: Column) -> Column:
-        mixed = ((value % PRIME) * F.get(factor, place) + F.get(offset, place)) % PRIME % (1 << KEPT_BITS)
-        return F.lpad(F.lower(F.hex(mixed)), KEPT_BITS // 4, "0")
-
-    places = F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long"))
-    lookup = F.transform(places, lambda b: F.when(F.array_contains(bins, b), at(b)).otherwise(lent(b)))
-    # Where every bin is filled, the least hashes are the values in order.
-    filled = F.when(F.size(least) == BINS, least).otherwise(lookup)
-    packed = F.when(F.size(least) == 0, F.repeat(F.lit("00"), BINS)).otherwise(
-        F.array_join(F.transform(filled, digits), "")
+    places = _numbers(range(BINS))
+    lent = F.transform(
+        F.array_except(places, bins), lambda b: code(at(least, F.array_position(bins, lender(b)) - 1), b)
     )
-    df = with_once(df, name, packed)
+    codes = F.concat(F.transform(least, lambda v: code(v, _bin(v))), lent)
+    zeros = F.transform(places, lambda b: (b * (1 << KEPT_BITS)).cast("int"))
+    df = with_once(df, name, F.when(F.size(least) == 0, zeros).otherwise(F.sort_array(codes)))
     return df.drop(*(own(x) for x in ("words", "hashes", "least", "bins")))
 
 
+def packed(codes: Column) -> Column:
+    """The bits kept of each bin as two hexadecimal digits, in the order of the bins."""
+    digits = F.split(F.lit(" ".join(f"{v:02x}" for v in range(1 << KEPT_BITS))), " ")
+    return F.array_join(F.transform(codes, lambda c: F.get(digits, c % (1 << KEPT_BITS))), "")
+
+
+def unpacked(fingerprint: Column) -> Column:
+    """The codes of a packed fingerprint."""
+    byte = lambda digits, place: F.conv(digits, 16, 10).cast("int") + place * (1 << KEPT_BITS)
+    return F.transform(F.regexp_extract_all(fingerprint, F.lit(".."), F.lit(0)), byte)
+
+
 def likeness(one: Column, other: Column) -> Column:
-    """Estimated share of shingles in common, 0 to 1: equal places, without those equal by chance."""
-    width = KEPT_BITS // 4
-    places = F.sequence(F.lit(1), F.lit(BINS * width), F.lit(width))
-    equal = F.filter(places, lambda i: F.substring(one, i, F.lit(width)) == F.substring(other, i, F.lit(width)))
-    share = F.size(equal) / F.lit(float(BINS))
+    """Estimated share of shingles in common, 0 to 1, of two fingerprints as codes: their equal
+    bins, without those equal by chance."""
+    share = F.size(F.array_intersect(one, other)) / F.lit(float(BINS))
     return F.greatest(F.lit(0.0), (share - F.lit(CHANCE)) / F.lit(1 - CHANCE))
 
 
@@ -200,7 +226,8 @@ def _edited(rows: DataFrame, *more: str) -> DataFrame:
     edited = F.concat(kept, F.substring("next_text", F.lit(1), F.col("moved")))
     rows = with_fingerprint(with_once(rows, "edited", edited), "edited", "edited_fingerprint")
     return rows.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        packed(F.col("fingerprint")).alias("fingerprint"), packed(F.col("edited_fingerprint")).alias("edited_fingerprint"),
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), *more,
     )
@@ -215,6 +242,9 @@ def oracle(documents: str = "documents") -> str:
         equal = f"len(list_filter(range(1, {2 * BINS + 1}, 2), lambda i: substr({one}, i, 2) = substr({other}, i, 2)))"
         return f"greatest(0.0::DOUBLE, ({equal}::DOUBLE / {BINS}::DOUBLE - {CHANCE}::DOUBLE) / {1 - CHANCE}::DOUBLE)"
 
+    sums = " + ".join(
+        f"coalesce(lead(w, {k}) OVER o, 0) * {_constant('word', k)}" for k in range(SHINGLE)
+    )
     return rf"""
 WITH docs AS (
   SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(coalesce(text, ''))) AS r, doc_id, coalesce(text, '') AS text
@@ -228,14 +258,23 @@ edited AS (
   SELECT *, substr(text, 1, (n - n // 4)::BIGINT) || substr(next_text, 1, (n // 4)::BIGINT) AS edited FROM paired),
 texts AS MATERIALIZED (
   SELECT row_number() OVER () AS t, text FROM (SELECT text FROM edited UNION SELECT edited FROM edited)),
-split AS (
-  SELECT t, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM texts),
-shingles AS (
-  SELECT t, unnest(list_transform(range(1, greatest(len(words) - {SHINGLE - 2}, 2)),
-    lambda i: array_to_string(words[i:i + {SHINGLE - 1}], ' '))) AS s
-  FROM split WHERE len(words) > 0),
-hashed AS (SELECT t, ('0x' || substr(md5(s), 1, {HASH_BITS // 4}))::BIGINT AS h FROM shingles),
-filled AS MATERIALIZED (SELECT t, h >> {HASH_BITS - BIN_BITS} AS bin, min(h) AS v FROM hashed GROUP BY ALL),
+crc_table AS (
+  SELECT list(v ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))),
+split AS (SELECT t, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM (
+  SELECT t, regexp_extract_all(text, '{WORD}') AS words FROM texts)),
+words AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      regexp_extract_all(hex(encode(word)), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS w
+  FROM (SELECT DISTINCT word FROM split), crc_table),
+hashed AS (
+  SELECT t, ({sums}) % {PRIME} AS h, place, count(*) OVER (PARTITION BY t) AS n
+  FROM split JOIN words USING (word) WINDOW o AS (PARTITION BY t ORDER BY place)),
+filled AS MATERIALIZED (SELECT t, h >> {HASH_BITS - BIN_BITS} AS bin, min(h) AS v
+  FROM hashed WHERE place <= greatest(n - {SHINGLE - 1}, 1) GROUP BY ALL),
 bins AS MATERIALIZED (SELECT b, {constant('turn', 'b')} AS turn, {constant('shift', 'b')} AS shift,
   {constant('factor', 'b')} AS factor, {constant('offset', 'b')} AS off FROM range({BINS}) x(b)),
 dense AS (
@@ -243,7 +282,7 @@ dense AS (
     arg_min(v, CASE WHEN bin = b THEN -1 ELSE ((bin + 1) * turn + shift) % {PRIME} * {BINS} + bin END) AS v
   FROM filled, bins GROUP BY t, b),
 packed AS (
-  SELECT t, string_agg(format('{{:02x}}', (v % {PRIME} * factor + off) % {PRIME} % {1 << KEPT_BITS}), '' ORDER BY b) AS fp
+  SELECT t, string_agg(format('{{:02x}}', (v * factor + off) % {PRIME} % {1 << KEPT_BITS}), '' ORDER BY b) AS fp
   FROM dense GROUP BY t),
 prints AS (SELECT text AS t, coalesce(fp, repeat('00', {BINS})) AS fp FROM texts LEFT JOIN packed USING (t)),
 all_prints AS (
