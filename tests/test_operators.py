@@ -5,7 +5,7 @@ from conftest import final_plan, rows_of
 from hypothesis import HealthCheck, given, settings as hypo, strategies as st
 from pyspark.sql import functions as F
 
-from tierstone.operators.latest import latest_per_key, upsert
+from tierstone.operators.latest import changes, latest_per_key, upsert
 from tierstone.operators.lookup import hot_keys, lookup
 from tierstone.operators.once import with_once
 from tierstone.operators.rank import top_k
@@ -104,12 +104,30 @@ def test_upsert_equals_brute_force(spark, current, incoming):
     assert rows_of(got) == sorted((r for _, r in best.values()), key=str)
 
 
-def test_upsert_sorts_no_current_rows(spark, settings, tmp_path):
-    """Current rows meet the delivery's keys in joins; only touched ones are aggregated."""
-    spark.range(1000).selectExpr("id AS k", "id AS stamp", "repeat('x', 50) AS v").write.parquet(str(tmp_path / "t"))
-    current = spark.read.parquet(str(tmp_path / "t"))
-    plan = final_plan(upsert(current, current.where("k % 100 = 1"), ["k"], ["stamp"]))
-    assert "LeftAnti" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
+def test_upsert_scans_the_delivery_once_and_sorts_no_current_rows(spark, settings, tmp_path):
+    """Current rows pass by a broadcast of the delivery, which is reduced once."""
+    rows = spark.range(1000).selectExpr("id AS k", "id AS stamp", "repeat('x', 50) AS v")
+    rows.write.parquet(str(tmp_path / "current"))
+    rows.where("k % 100 = 1").write.parquet(str(tmp_path / "delivery"))
+    current, delivery = (spark.read.parquet(str(tmp_path / x)) for x in ("current", "delivery"))
+    plan = final_plan(upsert(current, delivery, ["k"], ["stamp"]))
+    assert "SortMergeJoin" not in plan
+    places = [line.split("Location:")[1] for line in plan.splitlines() if "FileScan" in line]
+    assert not any(str(tmp_path / "delivery") in x for x in places)  # reduced and kept before
+    assert sum(str(tmp_path / "current") in x for x in places) == 2
+
+
+def test_changes_are_what_an_upsert_changes(spark):
+    schema = "k long, stamp long, v string"
+    current = spark.createDataFrame([(1, 1, "a"), (2, 5, "b"), (3, 1, "c"), (4, 1, None), (None, 1, "n")], schema)
+    incoming = spark.createDataFrame(
+        [(1, 2, "A"), (1, 1, "z"), (2, 4, "old"), (3, 1, "c"), (4, 1, "d"), (9, 1, "new"), (None, 1, "n")], schema
+    )
+    found = rows_of(changes(current, incoming, ["k"], ["stamp"]))
+    assert found == sorted(
+        [(1, 1, "a", -1), (1, 2, "A", 1), (4, 1, None, -1), (4, 1, "d", 1), (9, 1, "new", 1), (None, 1, "n", 1)],
+        key=lambda r: tuple((x is None, str(x)) for x in r),
+    )
 
 
 def test_rows_without_a_key_stay(spark):

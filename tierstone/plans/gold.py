@@ -51,6 +51,12 @@ def item_performance(items: DataFrame, purchases: DataFrame, views: DataFrame) -
         .groupBy("item_id")
         .agg(*(F.sum(name).alias(name) for name in measures))
     )
+    return performance_of(items, per_item)
+
+
+def performance_of(items: DataFrame, per_item: DataFrame) -> DataFrame:
+    """silver.items with what was summed per item: sold, ordered, earned and viewed, each
+    NULL where no row contributed."""
     catalogue = items.select(
         F.col("id").alias("item_id"),
         F.col("name").alias("item_name"),
@@ -77,6 +83,11 @@ def item_revenue(purchases: DataFrame, bronze_items: DataFrame) -> DataFrame:
     keeps the result exact should an item number carry several labels.
     """
     per_item = purchases.groupBy("item_id").agg(F.sum("total_price").alias("total_price"))
+    return labelled_revenue(per_item, bronze_items)
+
+
+def labelled_revenue(per_item: DataFrame, bronze_items: DataFrame) -> DataFrame:
+    """Revenue per item (item_id, total_price) by item and label."""
     labels = {"name": "item_name", "category": "item_category"}
     return _revenue_by_label(lookup(per_item, bronze_items, "item_id", "id", labels))
 
@@ -100,6 +111,10 @@ def top_selling_items(
         revenue = _revenue_by_label(purchases)
     else:
         revenue = item_revenue(purchases, bronze_items)
+    return top_revenue(revenue, k)
+
+
+def top_revenue(revenue: DataFrame, k: int = TOP_SELLERS) -> DataFrame:
     return top_k(revenue, k, F.desc_nulls_last("total_revenue"), F.asc("item_id"),
                  F.asc("item_name"), F.asc("item_category"))
 
@@ -175,13 +190,23 @@ def user_engagement_segments(
     rules: Sequence[shop.SegmentRule] = shop.SEGMENT_RULES,
 ) -> DataFrame:
     """Every user with a valid e-mail, by recency and frequency of item page views."""
+    return segments_of(users, visits(views, as_of), as_of, rules)
+
+
+def segments_of(
+    users: DataFrame,
+    visited: DataFrame,
+    as_of: datetime | None = None,
+    rules: Sequence[shop.SegmentRule] = shop.SEGMENT_RULES,
+) -> DataFrame:
+    """The same from visits per user: page_count, day_count and last_day."""
     reachable = users.where("valid_email").select(
         F.col("id").alias("user_id"), "email", "full_name"
     )
     zero = F.lit(0).cast("long")
     total = F.coalesce("page_count", zero)
     idle = F.date_diff(clock.today(as_of), F.col("last_day"))
-    return reachable.join(visits(views, as_of), "user_id", "left").select(
+    return reachable.join(visited, "user_id", "left").select(
         "user_id",
         "email",
         "full_name",

@@ -65,11 +65,11 @@ def purchases_enriched(
     return labelled.select(*CONTRACTS["silver.purchases_enriched"].columns)
 
 
-def item_views(bronze_pageviews: DataFrame) -> DataFrame:
-    """Page views whose URL ends in an item number."""
+def item_views(bronze_pageviews: DataFrame, *more: str) -> DataFrame:
+    """Page views whose URL ends in an item number, with any further columns."""
     numbered = with_once(bronze_pageviews, "item_id", shop.item_of(F.col("url")))
     return numbered.where(F.col("item_id").isNotNull()).select(
-        "user_id", "item_id", shop.page_of(F.col("url")).alias("page"), "channel", "received_at"
+        "user_id", "item_id", shop.page_of(F.col("url")).alias("page"), "channel", "received_at", *more
     )
 
 

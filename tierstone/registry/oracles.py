@@ -390,6 +390,52 @@ _SELECTS = {
         UNION ALL SELECT user_id, url, 'agent-3', received_at FROM pageviews""",
 }
 
+#: The sources as three deliveries leave them, under the names that the layers are built from.
+_DELIVERED = """
+users AS (
+  SELECT * REPLACE (
+    CASE WHEN id % 4 <> 0 THEN email WHEN email IS NULL THEN 'n' || id || '@example.com' END AS email,
+    CASE WHEN id % 4 = 0 THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at)
+  FROM users_0
+),
+items AS (
+  SELECT id, CASE WHEN id % 11 = 0 THEN name || '!' ELSE name END AS name,
+         CASE WHEN id % 11 <> 0 AND id % 9 = 0 THEN 'moved' ELSE category END AS category,
+         CASE WHEN id % 11 <> 0 AND id % 3 = 0 THEN CAST(price + 0.10 AS DECIMAL(7,2)) ELSE price END AS price,
+         inventory, created_at,
+         updated_at + INTERVAL 1 DAY * (CASE WHEN id % 11 = 0 THEN 2 WHEN id % 3 = 0 THEN 1 ELSE 0 END) AS updated_at
+  FROM items_0
+  UNION ALL SELECT id + 1000000, name, category, price, inventory, created_at, updated_at
+  FROM items_0 WHERE id % 7 = 0
+),
+purchases AS (
+  SELECT * EXCLUDE (early) REPLACE (
+    CASE WHEN id % 10 = 5 AND early THEN item_id + 1 ELSE item_id END AS item_id,
+    CAST(CASE WHEN id % 10 = 0 AND early THEN quantity + 1 ELSE quantity END AS INTEGER) AS quantity,
+    CASE WHEN id % 5 = 0 AND early THEN updated_at + INTERVAL 1 DAY ELSE updated_at END AS updated_at)
+  FROM (SELECT *, created_at < TIMESTAMP '2024-01-17' AS early FROM purchases_0)
+),
+pageviews AS (
+  SELECT * REPLACE (date_trunc('second', received_at) AS received_at) FROM pageviews_0
+),
+"""
+_AFTER = _BASE
+for _name in ("users", "items", "purchases", "pageviews"):
+    _AFTER = _AFTER.replace(f"\n{_name} AS (", f"\n{_name}_0 AS (")
+_AFTER = _AFTER.replace("silver_users AS (", _DELIVERED.strip() + "\nsilver_users AS (", 1)
+# Bulk purchases have a table of their own and are left out.
+_MAINTAINED = {
+    "maintained_purchases_enriched": "SELECT * FROM enriched",
+    "maintained_pageviews_by_items": "SELECT * FROM item_views",
+    "maintained_item_performance": "SELECT * FROM performance",
+    "maintained_top_selling_items": "SELECT * FROM top_items",
+    "maintained_sales_performance_24h": _LAST_DAY_HOURS,
+    "maintained_pageviews_by_channel": _SELECTS["pageviews_by_channel"],
+    "maintained_user_engagement_segments": "SELECT * FROM segments",
+}
+
 ORACLES: dict[str, str] = {
+    name: (_AFTER + select).replace("@AS_OF", AS_OF) for name, select in _MAINTAINED.items()
+} | {
     name: (_BASE + select).replace("@AS_OF", AS_OF) for name, select in _SELECTS.items()
 }

@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from tierstone.contracts import CONTRACTS, PRICE
 from tierstone.functions import shop
 from tierstone.operators.latest import upsert
-from tierstone.plans import bronze, gold, history, quality, refresh, reports, silver
-from tierstone.scratch import new_folder
+from tierstone.plans import bronze, gold, history, incremental, quality, refresh, reports, silver
+from tierstone.scratch import listing_of, new_folder
 from tierstone.session import apply_runtime_settings
 from tierstone.sinks.csv import export_csv, read_export
 from tierstone.sinks.store import LayerStore
@@ -387,17 +387,27 @@ def _sources(spark, sf_dir):
     )
 
 
-_REFRESHED: dict[tuple[str, str], LayerStore] = {}
+_BUILT: dict[tuple, LayerStore] = {}
+
+
+def _built_once(spark, sf_dir, how: Callable) -> LayerStore:
+    """A store built from the test tables, once per application and state of their files."""
+    files = listing_of(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, files, how.__name__)
+    if key not in _BUILT:
+        _BUILT[key] = how(spark, sf_dir)
+    return _BUILT[key]
+
+
+def _refresh(spark, sf_dir) -> LayerStore:
+    store = scratch_store(spark)
+    refresh.refresh(store, _sources(spark, sf_dir), f"{store.root}/segmented_users", AS_OF)
+    return store
 
 
 def _refreshed(spark, sf_dir) -> LayerStore:
-    """A store with all layers loaded from the test tables, once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _REFRESHED:
-        store = scratch_store(spark)
-        refresh.refresh(store, _sources(spark, sf_dir), f"{store.root}/segmented_users", AS_OF)
-        _REFRESHED[key] = store
-    return _REFRESHED[key]
+    """A store with all layers loaded from the test tables."""
+    return _built_once(spark, sf_dir, _refresh)
 
 
 @query
@@ -592,6 +602,65 @@ def stored_upsert(spark, sf_dir):
     return store.read("bronze.items")
 
 
+# --- layers maintained by deliveries ------------------------------------------------------------
+
+
+def _between(rows: DataFrame, time: str, first: str, last: str) -> DataFrame:
+    return rows.where(f"{time} >= TIMESTAMP'{first}' AND {time} < TIMESTAMP'{last}'")
+
+
+def _three_deliveries(spark, sf_dir) -> LayerStore:
+    """Ten days loaded in full, the others in three mixed deliveries: new facts, items and
+    users; corrected purchases, some of another item; changed labels, folders and addresses;
+    older versions and replays, which change nothing."""
+    source = _sources(spark, sf_dir)
+    users, items = source.users, source.items
+    bought = lambda first, last: _between(source.purchases, "created_at", first, last)
+    views = bronze.pageviews(source.pageviews)
+    seen = lambda first, last: _between(views, "received_at", first, last)
+    later = lambda rows, days: rows.withColumn("updated_at", F.expr(f"updated_at + INTERVAL {days} DAY"))
+    begin, tenth, middle, late, end = "1970-01-01", "2024-01-10", "2024-01-17", "2024-01-24", "9999-01-01"
+    store = scratch_store(spark)
+    refresh.refresh(
+        store, refresh.Sources(users, items, bought(begin, tenth), seen(begin, tenth)),
+        f"{store.root}/segmented_users", datetime(2024, 1, 10),
+    )
+    layers = incremental.IncrementalLayers(store)
+    layers.start(datetime(2024, 1, 10))
+    layers.apply(1, incremental.Delivery(
+        items=_delivery(items).where("id IS NOT NULL"), purchases=bought(tenth, middle), pageviews=seen(tenth, middle),
+    ), datetime(2024, 1, 17))
+    earlier = bought(begin, middle)
+    corrected = later(earlier.where("id % 10 = 0"), 1).withColumn("quantity", F.expr("quantity + 1"))
+    moved = later(earlier.where("id % 10 = 5"), 1).withColumn("item_id", F.col("item_id") + 1)
+    older = later(earlier.where("id % 10 = 3"), -1).withColumn("quantity", F.lit(99))
+    swapped = F.expr("CASE WHEN email IS NULL THEN concat('n', id, '@example.com') END")
+    corrections = corrected.unionByName(moved).unionByName(older).unionByName(earlier.where("id % 10 = 7"))
+    layers.apply(2, incremental.Delivery(
+        users=later(users.where("id % 4 = 0"), 1).withColumn("email", swapped),
+        purchases=corrections.unionByName(bought(middle, late)), pageviews=seen(middle, late),
+    ), AS_OF)
+    renamed = later(items.where("id % 11 = 0"), 2).withColumn("name", F.concat("name", F.lit("!")))
+    layers.apply(3, incremental.Delivery(
+        items=renamed, purchases=bought(late, end).unionByName(corrections), pageviews=seen(late, end),
+    ), AS_OF)
+    return store
+
+
+def _maintained(name: str) -> Query:
+    def content(spark, sf_dir):
+        return _built_once(spark, sf_dir, _three_deliveries).read(name)
+
+    content.__name__ = "maintained_" + name.split(".")[1]
+    content.__doc__ = f"{name} after a full load and three mixed deliveries."
+    return content
+
+
+for _name in CONTRACTS:
+    if _name.startswith("gold.") or "_" in _name:
+        query(_maintained(_name))
+
+
 @query
 def as_of_load(spark, sf_dir):
     """Items as they stood between two loads."""

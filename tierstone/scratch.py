@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
 _LOCAL_ROOT: list[str] = []
@@ -40,3 +40,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
     """
     application = spark.sparkContext.applicationId
     return f"{shared_root(spark)}/tierstone-{application}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def listing_of(spark: SparkSession, folder: str) -> tuple[tuple[str, int, str], ...]:
+    """Path, length and time of change of the files below a folder; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    found = files.selectExpr("path", "length", "string(modificationTime)").collect()
+    return tuple(sorted(map(tuple, found)))
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read from there, so that a plan which
+    uses them several times computes them once."""
+    path = f"{new_folder(df.sparkSession, label)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ from tierstone.operators.latest import upsert
 from tierstone.scratch import new_folder
 
 
+#: Writes what it is given a builder of, and returns it as read from there.
+Staged = Callable[[Callable[[], DataFrame]], DataFrame]
+
+
 def create_statement(contract: Contract, target: str) -> str:
     columns = [f"`{name}` {kind.simpleString().upper()}" for name, kind in contract.fields]
     layout = ""
@@ -31,6 +36,11 @@ def _one_of(column: str, values: list) -> Column:
     return found | F.col(column).isNull() if None in values else found
 
 
+def _equal(one: DataFrame, keys: DataFrame) -> Column:
+    """Equality of all columns of `keys`, NULL being equal to NULL."""
+    return reduce(Column.__and__, [one[c].eqNullSafe(keys[c]) for c in keys.columns])
+
+
 class LayerStore:
     """Reads and writes layer tables by their two-level name, such as `silver.users`.
 
@@ -104,30 +114,69 @@ class LayerStore:
         rewritten as a whole.
         """
         contract = CONTRACTS[name]
-        part, table = contract.partitioning, self.table(name)
         delivery = f"{new_folder(self.spark, 'delivery')}/rows"
         conform(incoming, contract).write.parquet(delivery)
         delivered = self.spark.read.schema(contract.schema).parquet(delivery)
+        self._rewrite(
+            name, delivered, delivered.select(*keys), lambda current: upsert(current, delivered, keys, newest_by), self._scratch
+        )
+        return self.stored_rows(name)
+
+    def replace(
+        self, rows: DataFrame, name: str, among: DataFrame | None = None, staged: Staged | None = None
+    ) -> None:
+        """Put `rows` in the place of the stored rows whose keys are `among`; without
+        `among` they are added. NULL keys are equal. Only folders that lose or get rows are
+        written again. With `staged` of a ledger a run that died is continued from the new
+        content it had staged, which makes the addition of rows repeatable.
+        """
+        rows = conform(rows, CONTRACTS[name])
+
+        def merge(current: DataFrame) -> DataFrame:
+            kept = current if among is None else current.join(among, _equal(current, among), "left_anti")
+            return kept.unionByName(rows)
+
+        self._rewrite(name, rows, among, merge, staged or self._scratch)
+
+    def refill(self, rows: DataFrame, name: str, values: Sequence) -> None:
+        """Replace whole folders, given by their values, by these rows, which belong there."""
+        part, table = CONTRACTS[name].partitioning, self.table(name)
+        staged = self._scratch(lambda: self._laid_out(rows, name)).select(*self.spark.table(table).columns)
+        self._publish(staged, table, part.column, values)
+
+    def _scratch(self, build: Callable[[], DataFrame]) -> DataFrame:
+        folder = f"{new_folder(self.spark, 'upsert')}/rows"
+        build().write.parquet(folder)
+        return self.spark.read.parquet(folder)
+
+    def _rewrite(
+        self, name: str, new: DataFrame, keys: DataFrame | None, merge: Callable[[DataFrame], DataFrame], staged: Staged
+    ) -> None:
+        """Write the folders again that hold one of the keys or get one of the new rows."""
+        contract = CONTRACTS[name]
+        part, table = contract.partitioning, self.table(name)
         current = self.spark.table(table)
         if part:
-            named = current.join(delivered.select(*keys).distinct(), list(keys), "left_semi")
-            new = delivered.select(part.expression().alias(part.column))
-            folders = named.select(part.column).unionByName(new).distinct()
+            folders = new.select(part.expression().alias(part.column))
+            if keys is not None:
+                named = current.join(keys, _equal(current, keys), "left_semi")
+                folders = folders.unionByName(named.select(part.column))
             # One value per folder touched, never more than the table has folders.
-            values = [row[0] for row in folders.collect()]
+            values = [row[0] for row in folders.distinct().collect()]
             current = current.where(_one_of(part.column, values))
-        merged = upsert(current.select(*contract.columns), delivered, keys, newest_by)
-        staged = f"{new_folder(self.spark, 'upsert')}/rows"
-        self._laid_out(merged, name).write.parquet(staged)
-        rows = self.spark.read.parquet(staged).select(*self.spark.table(table).columns)
+        merged = merge(current.select(*contract.columns))
+        rows = staged(lambda: self._laid_out(merged, name)).select(*self.spark.table(table).columns)
         if part:
-            self._replace_folders(rows.hint("rebalance", part.column), table)
-            filled = {row[0] for row in rows.select(part.column).distinct().collect()}
-            for value in set(values) - filled:  # every row has moved to another folder
-                self._drop_folder(table, part.column, value)
+            self._publish(rows, table, part.column, values)
         else:
             rows.write.insertInto(table, overwrite=True)
-        return self.stored_rows(name)
+
+    def _publish(self, rows: DataFrame, table: str, column: str, values: Sequence) -> None:
+        """Overwrite the folders that get rows, and drop those of `values` that get none."""
+        self._replace_folders(rows.hint("rebalance", column), table)
+        filled = {row[0] for row in rows.select(column).distinct().collect()}
+        for value in set(values) - filled:
+            self._drop_folder(table, column, value)
 
     def _replace_folders(self, rows: DataFrame, table: str) -> None:
         """Overwrite the folders that get rows; a catalog table takes this as a setting only."""
@@ -150,6 +199,12 @@ class LayerStore:
     def stored_rows(self, name: str) -> int:
         return self.spark.table(self.table(name)).count()
 
+    def read_folders(self, name: str, values: Sequence) -> DataFrame:
+        """The declared columns of the rows in these folders; no other is opened."""
+        contract = CONTRACTS[name]
+        rows = self.spark.table(self.table(name))
+        return rows.where(_one_of(contract.partitioning.column, values)).select(*contract.columns)
+
     def read(
         self, name: str, since: Column | None = None, until: Column | None = None
     ) -> DataFrame:
