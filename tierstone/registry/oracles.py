@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tierstone.contracts import CONTRACTS
+
 AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 
 _BASE = r"""
@@ -213,7 +215,46 @@ def _gate(table: str, relation: str, unique: str | None, required: list[str]) ->
     )
 
 
+def _layouts() -> str:
+    """The declared columns, and the folders and rows that follow from the sources."""
+    folders = {
+        "day": "SELECT count(DISTINCT CAST({source} AS DATE)) FROM {relation}",
+        "value": "SELECT count(DISTINCT coalesce({source}, '')) FROM {relation}",
+    }
+    texts = []
+    for name, contract in CONTRACTS.items():
+        part, relation = contract.partitioning, _COUNTS[name]
+        columns = [(n, kind.simpleString(), False) for n, kind in contract.fields]
+        if part:
+            columns.append((part.column, part.sql_type.lower(), True))
+        count = folders[part.transform].format(source=part.source, relation=relation) if part else "SELECT 0"
+        listed = ", ".join(f"('{c}', '{kind}', {str(folder).lower()})" for c, kind, folder in columns)
+        texts.append(
+            f"SELECT '{name}' AS t, \"column\", type, is_folder, (SELECT count(*) FROM {relation}) AS n,"
+            f" ({count})::BIGINT AS folders FROM (VALUES {listed}) v(\"column\", type, is_folder)"
+        )
+    return " UNION ALL ".join(texts)
+
+
+_WHOLE_SECONDS = "SELECT * REPLACE (date_trunc('second', received_at) AS received_at) FROM pageviews"
+
 _SELECTS = {
+    "table_layouts": _layouts(),
+    "listing_after_drop": "SELECT 'bronze' AS layer, 'users' AS table_name, count(*) AS n FROM users",
+    "incremental_ingest": f"""
+        SELECT *, CAST(CASE WHEN received_at < TIMESTAMP '2024-01-10' THEN 1
+                            WHEN received_at < TIMESTAMP '2024-01-20' THEN 2 ELSE 3 END AS BIGINT) AS load_id
+        FROM ({_WHOLE_SECONDS})""",
+    "stream_deduplicated": f"""
+        SELECT DISTINCT *, 'taken' AS place FROM ({_WHOLE_SECONDS})
+        UNION ALL SELECT * REPLACE ('/late' AS url), 'late' FROM ({_WHOLE_SECONDS})
+        WHERE received_at < TIMESTAMP '2024-01-05'""",
+    "audited_publish": """
+        SELECT id, quantity, purchase_price, 'published' AS place, CAST(0 AS BIGINT) AS version
+        FROM purchases WHERE quantity > 1 AND purchase_price < 500
+        UNION ALL SELECT id, quantity, purchase_price, CASE WHEN quantity > 1 THEN 'price' ELSE 'quantity' END, version
+        FROM purchases, (VALUES (CAST(1 AS BIGINT)), (2), (2)) v(version)
+        WHERE NOT (quantity > 1 AND purchase_price < 500)""",
     "bronze_users": "SELECT * FROM users",
     "bronze_items": "SELECT * FROM items",
     "bronze_purchases": "SELECT * FROM purchases",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 from datetime import datetime
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,10 @@ from tierstone.plans import bronze, gold, history, incremental, quality, refresh
 from tierstone.scratch import listing_of, new_folder
 from tierstone.session import apply_runtime_settings
 from tierstone.sinks.csv import export_csv, read_export
+from tierstone.sinks.publish import AuditedTable
 from tierstone.sinks.store import LayerStore
 from tierstone.sources import ndjson, shop_tables
+from tierstone.sources.objects import ClickIngest
 from tierstone.streaming import clicks
 
 AS_OF = datetime(2024, 1, 31)
@@ -519,20 +521,49 @@ def rfm_full(spark, sf_dir):
 
 @query
 def quality_gates(spark, sf_dir):
+    """Gates over stored tables: one narrow scan each, no lookup is computed again."""
+    stored = _refreshed(spark, sf_dir).read
+    checked = {
+        "silver.users": ("id", ["email", "full_name"]),
+        "silver.items": ("id", ["name", "price"]),
+        "silver.purchases_enriched": ("id", ["total_price", "user_email", "item_name"]),
+        "silver.pageviews_by_items": (None, ["item_id", "item_name"]),
+        "bronze.users": ("id", ["email"]),
+        "bronze.purchases": ("id", ["quantity"]),
+    }
     return quality.all_gates(
-        quality.gates(silver_users(spark, sf_dir), "silver.users", "id", ["email", "full_name"]),
-        quality.gates(silver_items(spark, sf_dir), "silver.items", "id", ["name", "price"]),
-        quality.gates(
-            purchases_enriched(spark, sf_dir), "silver.purchases_enriched", "id",
-            ["total_price", "user_email", "item_name"],
-        ),
-        quality.gates(pageviews_by_items(spark, sf_dir), "silver.pageviews_by_items", None,
-                      ["item_id", "item_name"]),
-        quality.gates(bronze_users(spark, sf_dir), "bronze.users", "id", ["email"]),
-        quality.gates(bronze_purchases(spark, sf_dir), "bronze.purchases", "id", ["quantity"]),
+        *(quality.gates(stored(name), name, key, required) for name, (key, required) in checked.items())
     )
 
 
+@query
+def table_layouts(spark, sf_dir):
+    """Columns, types and folder columns of the thirteen stored tables, as the catalog has
+    them, with the rows and folders that each holds."""
+    store = _refreshed(spark, sf_dir)
+    found = []
+    for name, contract in CONTRACTS.items():
+        part = contract.partitioning
+        columns = store.columns(name).select(F.lit(name).alias("t"), "column", "type", "is_folder")
+        held = spark.table(store.table(name)).agg(
+            F.count(F.lit(1)).alias("n"),
+            (F.count_distinct(F.coalesce(F.col(part.column).cast("string"), F.lit(""))) if part else F.lit(0)).cast("long").alias("folders"),
+        )
+        found.append(columns.join(held, F.lit(True), "left"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def listing_after_drop(spark, sf_dir):
+    """Two stored tables of which one is dropped; the one left, with its rows."""
+    store = scratch_store(spark).create("bronze.users", "bronze.items")
+    store.overwrite(bronze_users(spark, sf_dir), "bronze.users")
+    store.overwrite(bronze_items(spark, sf_dir), "bronze.items")
+    store.drop("bronze.items")
+    rows = store.read("bronze.users").agg(F.count(F.lit(1)).alias("n"))
+    return store.listing().join(rows, F.lit(True), "left")
+
+
 @query
 def rejected_values(spark, sf_dir):
     """Values and lines that a load into bronze cannot keep, counted in the sources:
@@ -661,6 +692,69 @@ for _name in CONTRACTS:
         query(_maintained(_name))
 
 
+# --- what comes in: objects, streams, audited versions -------------------------------------------
+
+
+def _log_objects(rows: DataFrame, folder: str, name: str) -> None:
+    """Bronze page views as one delivery of click objects."""
+    rows.withColumn("received_at", F.unix_timestamp("received_at")).write.json(f"{folder}/{name}")
+
+
+@query
+def incremental_ingest(spark, sf_dir):
+    """Click objects that arrive in three lots; each load reads the objects of its own lot."""
+    views, work = bronze_pageviews(spark, sf_dir), new_folder(spark, "objects")
+    ingest = ClickIngest(spark, f"{work}/ingested")
+    cuts = ("1970-01-01", "2024-01-10", "2024-01-20", "9999-01-01")
+    for load, (first, last) in enumerate(zip(cuts, cuts[1:]), start=1):
+        _log_objects(_between(views, "received_at", first, last), f"{work}/log", f"lot={load}")
+        ingest.take(f"{work}/log", load)
+    return ingest.all_rows()
+
+
+@query
+def stream_deduplicated(spark, sf_dir):
+    """The click log as a stream, started three times: with replays, and with a late lot that
+    is kept apart. The rows taken, and the late ones."""
+    views, work = bronze_pageviews(spark, sf_dir), new_folder(spark, "replayed")
+    table = clicks.ClickTable(spark, f"{work}/clicks", "3 days")
+    lot = lambda first, last: _between(views, "received_at", first, last)
+    late = lot("1970-01-01", "2024-01-05").withColumn("url", F.lit("/late"))
+    lots = (
+        lot("1970-01-01", "2024-01-20"),
+        lot("2024-01-18", "9999-01-01").unionByName(lot("2024-01-19", "9999-01-01")),
+        lot("2024-01-29", "9999-01-01").unionByName(late),
+    )
+    for n, rows in enumerate(lots):
+        _log_objects(rows, f"{work}/log", f"lot={n}")
+        stream = clicks.click_stream(spark, f"{work}/log/*", files_per_batch=10_000)
+        table.ingest_available(stream, f"{work}/checkpoint")
+    taken = table.rows().withColumn("place", F.lit("taken"))
+    return taken.unionByName(table.late().withColumn("place", F.lit("late")))
+
+
+@query
+def audited_publish(spark, sf_dir):
+    """Purchases published after an audit; rows that break a rule are set apart, and a second
+    version with doubled ids is written, fails its gate and is not shown."""
+    store = scratch_store(spark)
+    rules = {"quantity": F.col("quantity") > 1, "price": F.col("purchase_price") < 500}
+    table = AuditedTable(store, "bronze.purchases", rules)
+    bought = bronze_purchases(spark, sf_dir)
+    gates = lambda rows: quality.gates(rows, "bronze.purchases", "id", ["id"])
+    table.load(bought, 1, gates)
+    try:
+        table.load(bought.unionByName(bought), 2, gates)
+    except quality.GateFailed:
+        pass
+    else:
+        raise AssertionError("doubled ids have passed the gate")
+    narrow = ("id", "quantity", "purchase_price")
+    shown = table.read().select(*narrow, F.lit("published").alias("place"), F.lit(0).cast("long").alias("version"))
+    apart = table.quarantine().select(*narrow, F.col("rejected_by").alias("place"), "version")
+    return shown.unionByName(apart)
+
+
 @query
 def as_of_load(spark, sf_dir):
     """Items as they stood between two loads."""

@@ -247,3 +247,9 @@ class LayerStore:
     def layout(self, name: str) -> DataFrame:
         """Columns, types, partitioning and comment of a table."""
         return self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table(name)}")
+
+    def columns(self, name: str) -> DataFrame:
+        """Columns of a table as the catalog has them, with a mark of the folder column."""
+        listed = self.spark.catalog.listColumns(self.table(name))
+        rows = [(c.name, c.dataType, c.isPartition) for c in listed]
+        return self.spark.createDataFrame(rows, "column string, type string, is_folder boolean")
