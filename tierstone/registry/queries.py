@@ -545,11 +545,12 @@ def table_layouts(spark, sf_dir):
     for name, contract in CONTRACTS.items():
         part = contract.partitioning
         columns = store.columns(name).select(F.lit(name).alias("t"), "column", "type", "is_folder")
-        held = spark.table(store.table(name)).agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.count_distinct(F.coalesce(F.col(part.column).cast("string"), F.lit(""))) if part else F.lit(0)).cast("long").alias("folders"),
-        )
-        found.append(columns.join(held, F.lit(True), "left"))
+        rows = spark.table(store.table(name))
+        folders = F.lit(0)
+        if part:
+            value = F.coalesce(F.col(part.column).cast("string"), F.lit(""))
+            folders = rows.agg(F.count_distinct(value)).scalar()
+        found.append(columns.select("*", rows.agg(F.count(F.lit(1))).scalar().alias("n"), folders.cast("long").alias("folders")))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -560,8 +561,8 @@ def listing_after_drop(spark, sf_dir):
     store.overwrite(bronze_users(spark, sf_dir), "bronze.users")
     store.overwrite(bronze_items(spark, sf_dir), "bronze.items")
     store.drop("bronze.items")
-    rows = store.read("bronze.users").agg(F.count(F.lit(1)).alias("n"))
-    return store.listing().join(rows, F.lit(True), "left")
+    rows = store.read("bronze.users").agg(F.count(F.lit(1))).scalar()
+    return store.listing().withColumn("n", rows)
 
 
 @query
