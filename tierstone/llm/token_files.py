@@ -11,8 +11,10 @@ offset and length of the frame, number of ids.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,25 +51,34 @@ class WordCache(dict):
     def __init__(self, tokenizer, kind: str, bound: int = 1_000_000) -> None:
         super().__init__()
         self.tokenizer, self.kind, self.bound = tokenizer, kind, bound
+        # Marks at the end of a stretch, but for apostrophes and those that special tokens have.
+        special = {c for token in tokenizer.get_added_tokens_decoder().values() for c in token.content}
+        inside = "".join(re.escape(c) for c in sorted(special) if not c.isalnum())
+        self.marks = re.compile(rf"(?<=[^\W_])[^\w\s'{inside}]+\Z")
+        # What the tokenizer makes of each letter before it looks words up.
+        split = tokenizer.pre_tokenizer.pre_tokenize_str
+        letters = [chr(c) for c in range(0x80, 0x130) if chr(c).isalpha()]
+        self.letters = {ord(c): "".join(piece for piece, _ in split(c)) for c in letters}
 
     def _encoded(self, stretch: str) -> bytes:
-        if stretch.isascii() and stretch.isalpha() and stretch.islower():
-            # One word of plain letters: neither normalising nor splitting changes it.
-            ids = [token.id for token in self.tokenizer.model.tokenize(stretch)]
+        if stretch.isalpha() and stretch == stretch.lower() and (stretch.isascii() or max(stretch) < "\u0130"):
+            # One word of letters, each composed and lower: only their spelling changes.
+            word = stretch if stretch.isascii() else stretch.translate(self.letters)
+            ids = [token.id for token in self.tokenizer.model.tokenize(word)]
         else:
             ids = self.tokenizer.encode(stretch, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
+        return array("H" if self.kind == "<u2" else "I", ids).tobytes()
 
     def __missing__(self, stretch: str) -> bytes:
         if len(self) >= self.bound:
             self.clear()
-        lowered = stretch.lower() if max(stretch, default="") < "\u0130" else None
+        lowered = stretch.lower() if stretch.isascii() or max(stretch) < "\u0130" else None
         if lowered is None:
             ids = self._encoded(stretch)
-        # Below that letter, lower case goes letter by letter, and a mark after a letter
-        # or digit begins a word of its own.
-        elif len(lowered) > 1 and lowered[-1] in ".," and lowered[-2].isalnum():
-            ids = self[lowered[:-1]] + self[lowered[-1]]
+        # Below that letter, lower case goes letter by letter, and marks after a letter or
+        # digit begin a word of their own; apostrophes may belong to what is before them.
+        elif lowered and not lowered[-1].isalnum() and (marks := self.marks.search(lowered)):
+            ids = self[lowered[: marks.start()]] + self[marks[0]]
         elif lowered != stretch:
             ids = self[lowered]
         else:
@@ -151,8 +162,17 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
     return zstandard.ZstdDecompressor(dict_data=data)
 
 
+#: Schemes that Spark's file systems have and Arrow knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(path: str) -> str:
+    scheme, mark, rest = path.partition("://")
+    return f"{SCHEMES.get(scheme, scheme)}{mark}{rest}"
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(arrow_uri(path))
 
 
 _MANIFEST = pa.schema(
@@ -256,7 +276,7 @@ class TokenFile:
 
 
 def read_files(manifest: DataFrame, summarise: Callable[[np.ndarray], tuple], kinds: str, schema: pa.Schema) -> DataFrame:
-    """Read every document of the manifest's files back, one task per group of files.
+    """Read every document of the manifest's files back, in as many tasks as there are files.
 
     Gives doc_id, start (ids of all documents before it, in file order) and what
     `summarise` makes of the ids. Only the manifest, one row per file, is ordered
@@ -277,7 +297,9 @@ def read_files(manifest: DataFrame, summarise: Callable[[np.ndarray], tuple], ki
 
         return in_batches(rows(), out)
 
-    dealt = files.select("path", "start").repartition("path")
+    # A task for each file: left to itself, adaptive execution would merge these few rows, and
+    # with them all files, into one task.
+    dealt = files.select("path", "start").repartition(max(1, manifest.count()), "path")
     return dealt.mapInArrow(work, f"doc_id long, start long, {kinds}")
 
 
