@@ -28,6 +28,8 @@ START, WIDEN = 0.5, 1.15
 #: Rows in a block; places in a block's sorted arrays take two bytes.
 DATA_BLOCK, QUERY_BLOCK = 16_384, 1024
 SEED = 20
+#: Products computed in different orders differ by less than this share of the lengths.
+ROUNDING = 1e-12
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -76,6 +78,16 @@ class BlockIndex:
         inside = self.place - begin[:, None] < size[:, None]
         return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
 
+    def _ranked(self, rows: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and products of the k best of these rows, ties to the smaller id. Products are
+        added component by component, so equal vectors have equal products whatever
+        they are computed with."""
+        score = np.zeros(len(rows))
+        for component, x in zip(self.vectors[rows].T, query.tolist(), strict=True):
+            score += component * x
+        order = np.lexsort((self.ids[rows], -score))[:k]
+        return self.ids[rows[order]], score[order]
+
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple]:
         """For each query the ids and products of the k nearest found, own id left out."""
         here = queries @ self.lines.T
@@ -95,11 +107,13 @@ class BlockIndex:
                 asked[q][new] = True
                 rows = np.concatenate((best[q][0], new))
                 score = np.concatenate((best[q][1], self.vectors[new] @ queries[q]))
-                order = np.lexsort((self.ids[rows], -score))[:k]
+                order = np.argsort(-score, kind="stable")
+                if len(order) > k:  # and all that rounding may have put behind the k-th
+                    order = order[score[order] >= score[order[k - 1]] - ROUNDING * length[q]]
                 best[q] = rows[order], score[order]
                 near = length[q] - 2 * best[q][1] <= radius[q] ** 2
                 if np.count_nonzero(near) >= k or asked[q].all():
-                    found[q] = self.ids[best[q][0]], best[q][1]
+                    found[q] = self._ranked(best[q][0], queries[q], k)
                 else:
                     still.append(q)
             open_ = np.array(still, np.int64)
