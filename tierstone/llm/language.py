@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ SAMPLE_DOCUMENTS = 1200
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 1e-3, 1e-3
 #: Part of the sample kept for the temperature.
 CALIBRATION_SHARE = 0.2
-_letter = re.compile(r"[^\W\d_]")
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -57,7 +55,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, probability); `und` and 0 for NULL, and for texts without a letter."""
-        if not self.languages or text is None or not _letter.search(text):
+        if not self.languages or text is None or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         found, x = self.features(text)
         odds = softmax((x @ self.weights[found] + self.bias) / self.temperature)
