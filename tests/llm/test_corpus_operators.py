@@ -84,6 +84,56 @@ def test_an_older_passage_in_the_first_of_a_copy_group(spark):
     assert left[1] == older and len(left[2]) < len(text) - 0.6 * len(older) and left[9] == ""
 
 
+def test_a_text_glued_from_chunks_has_no_passage(spark):
+    donors = [prose(200 + i, 80) for i in range(10)]
+    glued = "".join(d.encode()[200 : 232 + 3 * i].decode() for i, d in enumerate(donors))
+    docs = spark.createDataFrame([(1, glued), *enumerate(donors, 2)], "doc_id long, text string")
+    assert chunk_dedup.repeats(docs).count() == 0
+    assert chunk_dedup.without_repeats(docs).where("doc_id = 1").first()["text"] == glued
+
+
+def slow_repeats(rows, least):
+    """Places (doc_id, byte) in a sequence of chunks, of `least` bytes at least and none to
+    spare, that another text has anywhere at its own cuts; with the smallest id that has it."""
+    spans = {}
+    for i, text in rows:
+        data = text.encode()
+        ends = [0, *chunk_dedup.cuts(data).tolist()]
+        for a, start in enumerate(ends):
+            reach = next((e for e in ends[a:] if e - start >= least), None)
+            if reach:
+                spans.setdefault(data[start:reach], set()).add((i, start, reach))
+        start = max((s for s in ends if len(data) - s >= least), default=None)
+        if start is not None:
+            spans.setdefault(data[start:], set()).add((i, start, len(data)))
+    places = {}
+    for found in spans.values():
+        if len({i for i, _, _ in found}) > 1:
+            first = min(i for i, _, _ in found)
+            for i, start, end in found:
+                for place in range(start, end):
+                    places[i, place] = min(places.get((i, place), first), first)
+    return places
+
+
+def test_repeats_equal_brute_force(spark):
+    rng, shared, rows = random.Random(3), [prose(300 + i, 20 + 10 * i) for i in range(6)], []
+    for i in range(40):
+        parts = [prose(400 + i, 60)] + [rng.choice(shared)[rng.randrange(40) :] for _ in range(rng.randrange(4))]
+        rng.shuffle(parts)
+        rows.append((i, " ".join(parts)))
+    rows += [(90, rows[3][1]), (91, rows[4][1] + " end")]
+    places = {}
+    for r in chunk_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect():
+        for place in range(r["start"], r["end"]):
+            assert (r["doc_id"], place) not in places
+            places[r["doc_id"], place] = r["first_doc_id"]
+        # Each passage holds bytes that another text has.
+        data = dict(rows)[r["doc_id"]].encode()[r["start"] : r["end"]]
+        assert any(data[:40] in t.encode() for i, t in rows if i != r["doc_id"])
+    assert places == slow_repeats(rows, chunk_dedup.LEAST_BYTES) and len(places) > 5000
+
+
 def test_repeats_in_messy_rows(messy, nothing):
     found = chunk_dedup.repeats(messy)
     assert {r["doc_id"] for r in found.collect()} == {8, 9, None}

@@ -16,7 +16,7 @@ from tierstone.llm.common import python_values, row_key, small_batches, stored
 #: The gear hash of 16 bits remembers 16 bytes; a cut needs five zero bits.
 MEMORY, ZERO_BITS = 16, 5
 SMALLEST, LARGEST = 16, 128
-#: Shortest stretch of repeated chunks that counts as a passage, in bytes.
+#: Shortest sequence of neighbouring chunks that counts as a repeat, in bytes.
 LEAST_BYTES = 80
 
 # One random 16-bit number per byte value, from a rule.
@@ -56,86 +56,141 @@ def cuts(data: bytes) -> np.ndarray:
     return np.array(ends, np.int64)
 
 
-_CHUNKS = pa.schema(
-    [("doc_id", pa.int64()), ("row_a", pa.int64()), ("n", pa.int32()), ("span", pa.int64()),
-     ("digest_a", pa.int64()), ("digest_b", pa.int64())]
+#: A span is a byte offset times this, plus a length.
+_SPAN = 1 << 16
+_ROWS = pa.schema(
+    [("doc_id", pa.int64()), ("row_a", pa.int64()), ("span", pa.int64()), ("digest_a", pa.int64()), ("digest_b", pa.int64())]
+)
+_PASSAGES = pa.schema(
+    [("doc_id", pa.int64()), ("row_a", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
+     ("first_doc_id", pa.int64()), ("occurrences", pa.int64())]
 )
 
 
-def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every chunk of every text: its number, its span (byte offset times 256, plus its
-    length) and a 128-bit digest. `row_a` is a hash of the row's id and text."""
+def sequences(data: bytes, least_bytes: int = LEAST_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest sequences of neighbouring chunks that reach `least_bytes`:
+    one from every chunk on that has one, and one that ends with the text."""
+    ends = cuts(data)
+    starts = np.append(0, ends[:-1]) if len(ends) else ends
+    reach = np.searchsorted(ends, starts + least_bytes)
+    whole = reach < len(ends)
+    starts_of, ends_of = starts[whole], ends[reach[whole]]
+    last = int(np.searchsorted(starts, len(data) - least_bytes, "right")) - 1
+    if last >= 0 and ends[reach[last]] < len(data):
+        starts_of, ends_of = np.append(starts_of, starts[last]), np.append(ends_of, len(data))
+    return starts_of, ends_of
+
+
+def chunk_sequences(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_bytes: int = LEAST_BYTES
+) -> DataFrame:
+    """The `sequences` of every text: span and a 128-bit digest of the bytes. `row_a` is a
+    hash of the row's id and text."""
+    if not 0 < least_bytes < _SPAN - LARGEST:
+        raise ValueError(f"least_bytes must lie between 1 and {_SPAN - LARGEST - 1}")
     small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in python_values([batch]):
-                *keys, data = row
-                ends = cuts(data or b"")
-                if not len(ends):
-                    continue
-                starts = np.concatenate(([0], ends[:-1]))
-                view = memoryview(data)
-                digests = b"".join(
-                    xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
-                )
-                halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                count = len(ends)
-                columns = [pa.array([k] * count, pa.int64()) for k in keys]
-                columns += [pa.array(np.arange(count, dtype=np.int32)), pa.array(starts * 256 + ends - starts)]
-                columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays(columns, schema=_CHUNKS)
+        for *keys, data in python_values(batches):
+            starts, ends = sequences(data or b"", least_bytes)
+            count = len(starts)
+            if not count:
+                continue
+            view = memoryview(data)
+            digests = b"".join(
+                xxhash.xxh3_128_digest(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
+            )
+            halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
+            columns = [pa.array([k] * count, pa.int64()) for k in keys]
+            columns.append(pa.array(starts * _SPAN + ends - starts))
+            columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_ROWS)
 
     row_a = row_key(doc_id, text)[0]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_a, F.col(text).cast("binary"))
-    kinds = "doc_id long, row_a long, n int, span long, digest_a long, digest_b long"
-    return rows.mapInArrow(work, kinds)
+    return rows.mapInArrow(work, "doc_id long, row_a long, span long, digest_a long, digest_b long")
+
+
+def passages(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows (doc_id, row_a, met: list of span, first, n) to the passages that `met` covers.
+
+    Sequences overlap: between two neighbouring ends or starts of theirs, the smallest
+    first id and the greatest count of those that cover it hold. Neighbours with the same
+    first id are one passage, with the least of their counts.
+    """
+    met = batch.column("met")
+    flat, none = met.flatten(), np.iinfo(np.int64).max
+    field = lambda name: flat.field(flat.type.get_field_index(name)).fill_null(none).to_numpy(zero_copy_only=False)
+    span, first, n = field("span"), field("first"), field("n")
+    of = np.repeat(np.arange(len(met)), met.value_lengths().to_numpy(zero_copy_only=False))
+    begin = (of << 40) + span // _SPAN
+    end = begin + span % _SPAN
+    bounds = np.unique(np.concatenate((begin, end)))
+    low = np.searchsorted(bounds, begin)
+    many = np.searchsorted(bounds, end) - low
+    places = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many - low, many)
+    firsts, counts = np.full(len(bounds), none), np.zeros(len(bounds), np.int64)
+    np.minimum.at(firsts, places, np.repeat(first, many))
+    np.maximum.at(counts, places, np.repeat(n, many))
+    covered = counts > 0  # never the last bound, nor the gap between two rows
+    new = covered & ~(np.append(False, covered[:-1]) & (firsts == np.append(none, firsts[:-1])))
+    opens, inside = np.nonzero(new)[0], np.nonzero(covered)[0]
+    if not len(opens):
+        return pa.RecordBatch.from_pylist([], schema=_PASSAGES)
+    at = np.searchsorted(inside, opens)
+    closes = inside[np.append(at[1:], len(inside)) - 1] + 1
+    row = pa.array(bounds[opens] >> 40)
+    place = lambda which: pa.array(bounds[which] & ((1 << 40) - 1))
+    return pa.RecordBatch.from_arrays(
+        [batch.column("doc_id").take(row), batch.column("row_a").take(row), place(opens), place(closes),
+         pa.array(firsts[opens], mask=firsts[opens] == none), pa.array(np.minimum.reduceat(counts[inside], at))],
+        schema=_PASSAGES,
+    )
 
 
 def repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_bytes: int = LEAST_BYTES
 ) -> DataFrame:
     """Passages that other documents have too: doc_id, row_a, start, end (bytes of the UTF-8
-    text), first_doc_id (the smallest id that has each of its chunks), occurrences (of the rarest
-    of its chunks in the whole table) and keep.
-
-    Chunks that also stand in another document are repeated; an unbroken run of them counts
-    from `least_bytes` on, measured as a whole. A passage is the part of such a run whose
-    chunks have the same first id, however short, so that what an older document has is told
-    from what begins here. It reaches from its first cut to its last, so up to a chunk at
-    either side of what is really common is not in it. `keep` is true where no smaller
-    id has them all. Rows equal in id and text are one document. NULL and empty texts have
-    no chunk. NULL ids come after all others. Other columns are left out.
-
-    A chunk that a third of all documents share is one partial sum per task where chunks are
-    counted; where counts are joined back, adaptive execution splits its partition.
+    text), first_doc_id, occurrences and keep.
+
+    What is compared are sequences of neighbouring chunks, the shortest that reach
+    `least_bytes` (see `sequences`): every place of a passage lies in one that stands whole
+    in another document. So a text glued from single chunks of many others has none.
+    first_doc_id is the smallest id with such a sequence over the place, occurrences how often
+    the commonest of them stands in the table (the least of that over the passage). Where
+    first_doc_id changes, a new passage begins, however short, so that what an older
+    document has is told from what begins here. A passage reaches from a cut to a cut:
+    up to a chunk before what is really common is not in it, and up to a chunk and
+    `least_bytes` after it, unless both texts end there. `keep` is true where no
+    smaller id has it. Rows equal in id and text are one document. NULL texts and texts below
+    `least_bytes` have no passage. NULL ids come after all others. Other columns are left out.
+
+    A sequence that a third of all documents share is one partial sum per task where
+    sequences are counted. Counts are written before they are joined back: the join then has a
+    shuffle of its own on the side of the rows, which adaptive execution can split. A row
+    repeated as often is one set per task where a document's sequences meet.
     """
-    every = stored(chunks(docs, doc_id, text), "chunks")
+    every = stored(chunk_sequences(docs, doc_id, text, least_bytes), "chunks")
     digest = ["digest_a", "digest_b"]
     shared = (
         every.groupBy(*digest)
         .agg(
             F.min("row_a").alias("low"), F.max("row_a").alias("high"), F.min("doc_id").alias("first"),
-            F.count("*").alias("n_all"),
+            F.count("*").alias("n"),
         )
         .where("low <> high")
         .drop("low", "high")
     )
-    met = every.join(shared, digest).drop(*digest)
-    row = ["doc_id", "row_a"]
-    # Rows equal in id and text repeat each chunk number: rank them as one.
-    island = lambda *of: F.col("n") - F.dense_rank().over(Window.partitionBy(*of).orderBy("n"))
-    met = met.withColumn("run", island(*row)).withColumn("part", island(*row, "first"))
-    start, length = F.shiftright("span", 8), F.col("span") % 256
-    parts = met.groupBy(*row, "run", "first", "part").agg(
-        F.min(start).alias("start"), F.max(start + length).alias("end"), F.min("n_all").alias("occurrences")
-    )
-    whole = Window.partitionBy(*row, "run")
-    parts = parts.withColumn("run_bytes", F.max("end").over(whole) - F.min("start").over(whole))
-    kept = F.coalesce(F.col("first") >= F.col("doc_id"), F.col("first").isNull())
-    return parts.where(F.col("run_bytes") >= least_bytes).select(
-        *row, "start", "end", F.col("first").alias("first_doc_id"), "occurrences", kept.alias("keep")
-    )
+    met = every.join(stored(shared, "chunk-counts"), digest).groupBy("doc_id", "row_a")
+    met = met.agg(F.collect_set(F.struct("span", "first", "n")).alias("met"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return map(passages, batches)
+
+    kinds = "doc_id long, row_a long, start long, end long, first_doc_id long, occurrences long"
+    kept = F.coalesce(F.col("first_doc_id") >= F.col("doc_id"), F.col("first_doc_id").isNull())
+    return met.mapInArrow(work, kinds).withColumn("keep", kept)
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
