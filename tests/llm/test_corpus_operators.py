@@ -1,5 +1,6 @@
 """Chunk deduplication, mixing, neighbours, resampling, token files, toxicity."""
 
+import math
 import random
 import zlib
 
@@ -243,6 +244,32 @@ def test_resampling_prefers_the_target(spark):
         assert r["log_weight"] == pytest.approx(sum(ratios[b] for b in quality.buckets(texts[r["doc_id"]])))
 
 
+def test_resampling_equals_brute_force(spark):
+    """Counts, ratios, keys and selection anew, by plain loops over all rows."""
+    docs, labels = table(spark, TINY, "documents"), table(spark, TINY, "labels")
+    noise = quality.share(F.col("doc_id").cast("string"), F.col("text"), F.lit("gumbel"))
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text", noise.alias("u")).collect()
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
+
+    def grams(text):
+        codes = [zlib.crc32(w) for w in text.lower().encode().split()]
+        pairs = [(a * 0x9E3779B1 + b) % 2**32 for a, b in zip(codes, codes[1:])]
+        return [(g * 0x85EBCA77) % 2**32 >> 18 for g in codes + [p ^ (p >> 13) for p in pairs]]
+
+    raw, target = [1.0] * 2**14, [1.0] * 2**14
+    for r in rows:
+        for g in grams(r["text"]):
+            raw[g] += 1
+            target[g] += r["doc_id"] in good
+    st, sr = sum(target), sum(raw)
+    ratio = [math.log(t / st) - math.log(w / sr) for t, w in zip(target, raw)]
+    keys = {r["doc_id"]: sum(ratio[g] for g in grams(r["text"])) - math.log(-math.log(r["u"] + 2.0**-54)) for r in rows}
+    best = sorted(keys, key=lambda i: (-keys[i], i))[: len(rows) // 2]
+    found = quality.resample(docs.where("text IS NOT NULL"), labels).collect()
+    assert {r["doc_id"]: pytest.approx(r["sampling_key"]) for r in found} == keys
+    assert {r["doc_id"] for r in found if r["selected"]} == set(best)
+
+
 def test_resampling_of_messy_rows(spark, messy, nothing):
     labels = spark.createDataFrame([(8, 1, 0), (8, 0, 0), (None, 1, 1), (99, None, None)], "doc_id long, quality int, toxic int")
     rows = quality.resample(messy, labels).collect()

@@ -88,14 +88,14 @@ def log_weight(ratios: np.ndarray, text: Column) -> Column:
 
 
 def resample(
-    docs: DataFrame, labels: DataFrame, keep_share: float = KEEP_SHARE, temperature: float = 20.0,
+    docs: DataFrame, labels: DataFrame, keep_share: float = KEEP_SHARE, temperature: float = 1.0,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """doc_id, n_grams, log_weight, sampling_key and selected of every row.
 
     Selected are the `keep_share` of the rows with the greatest keys, a key being the
-    weight over `temperature` plus Gumbel noise: the rows of a draw without replacement
-    in which each row's chance goes with its weight. The noise is a hash of id and text,
+    log weight over `temperature` plus Gumbel noise: the rows of a draw without replacement
+    in which each row's chance goes with its weight (at temperature 1, the default). The noise is a hash of id and text,
     so equal rows draw alike; of rows equal in key, those of smaller id go first, and rows
     equal in both share the last places by number (`selected` is then true for all of
     them or none). NULL and empty texts weigh 0. Other columns are left out.
