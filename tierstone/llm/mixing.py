@@ -13,6 +13,8 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Targets are present shares to this power, scaled to sum to one: below 1 it lifts the small.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 ROUNDS = 12
+#: Raking with bounds goes on until no cell's share moves by more in a round, or so many rounds.
+SETTLED, MOST_ROUNDS = 5e-4, 100
 #: Tokens to sample, as a share of all tokens.
 TOKEN_SHARE = 0.6
 
@@ -53,8 +55,29 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return lifted.withColumn("target", F.col("target") / total)
 
 
+def reachable(cells: DataFrame, dimension: str, power: float, wanted: float) -> DataFrame:
+    """Target tokens of a dimension's values that sum to `wanted`, none above what the value has.
+
+    A value whose tempered target is more than all its tokens gets its tokens, and what it
+    cannot take goes to the others in proportion to theirs, until none is above. Only two
+    sums a pass reach the driver.
+    """
+    sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).where("t > 0")
+    lifted = stored(sums.withColumn("lifted", F.pow("t", F.lit(power))), "targets")
+    level, fixed = 0.0, -1
+    while True:
+        over = (F.col("lifted") * level >= F.col("t")) if level else F.lit(False)
+        n, full, free = lifted.agg(
+            F.count_if(over), F.sum(F.when(over, F.col("t"))), F.sum(F.when(~over, F.col("lifted")))
+        ).first()
+        if n == fixed or not free:
+            break
+        level, fixed = (wanted - (full or 0.0)) / free, n
+    return lifted.select(dimension, F.least("t", F.col("lifted") * level).alias("target"))
+
+
 def rake(
-    cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS
+    cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS, bounded: bool = False
 ) -> DataFrame:
     """The cells with their calibrated share `w` of all tokens.
 
@@ -63,19 +86,38 @@ def rake(
     closer the more rounds. Marginals are summed by partial aggregates and joined back,
     so a value with a third of all cells is no hot group. Each round is written to the
     shared folder. Cells whose value has no target get 0.
+
+    With `bounded`, targets are tokens and no cell gets more than it has: where a value is
+    to be raised, its full cells stay and the others take the rest. A cell that gets full
+    on the way leaves a gap, which the next rounds close: they go on until shares have
+    SETTLED, one number a round reaching the driver. Targets that exclude each other
+    (each reachable alone) are met as nearly as the last round does.
     """
     named = cells
     for dimension, target in targets.items():
         wanted = target.select(F.col(dimension).alias("__value"), F.col("target").alias(f"__{dimension}"))
         named = named.join(wanted, named[dimension].eqNullSafe(wanted["__value"]), "left").drop("__value")
     now = stored(named.withColumn("w", F.col("tokens")), "cells")
-    for _ in range(rounds):
+    is_full = F.col("w") >= F.col("tokens")
+    for _ in range(MOST_ROUNDS if bounded else rounds):
+        now = now.withColumn("__was", F.col("w"))
         for dimension in targets:
-            sums = now.groupBy(F.col(dimension).alias("__value")).agg(F.sum("w").alias("__sum"))
+            sums = now.groupBy(F.col(dimension).alias("__value")).agg(
+                F.sum("w").alias("__sum"), F.coalesce(F.sum(F.when(is_full, F.col("w"))), F.lit(0.0)).alias("__full")
+            )
             met = now.join(sums, now[dimension].eqNullSafe(sums["__value"]), "left")
-            scaled = F.col("w") * F.col(f"__{dimension}") / F.nullif(F.col("__sum"), F.lit(0.0))
-            now = met.withColumn("w", F.coalesce(scaled, F.lit(0.0))).drop("__value", "__sum")
+            target = F.col(f"__{dimension}")
+            scaled = F.col("w") * target / F.nullif(F.col("__sum"), F.lit(0.0))
+            if bounded:
+                rest = (target - F.col("__full")) / F.nullif(F.col("__sum") - F.col("__full"), F.lit(0.0))
+                raised = F.when(is_full, F.col("tokens")).otherwise(F.least("tokens", F.col("w") * rest))
+                scaled = F.when(target > F.col("__sum"), raised).otherwise(scaled)
+            now = met.withColumn("w", F.coalesce(scaled, F.lit(0.0))).drop("__value", "__sum", "__full")
         now = stored(now, "cells")
+        if bounded:
+            moved = now.where("tokens > 0").agg(F.max(F.abs(F.col("w") - F.col("__was")) / F.col("tokens"))).first()[0]
+            if (moved or 0.0) <= SETTLED:
+                break
     return now.select(*cells.columns, "w")
 
 
@@ -88,6 +130,7 @@ def draw(doc_id: Column) -> Column:
 def mix(
     docs: DataFrame, topic: Column | None = None, powers: Mapping[str, float] = POWERS,
     token_share: float = TOKEN_SHARE, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text",
+    once: bool = False,
 ) -> DataFrame:
     """The documents with __topic, __tokens, __weight (how often a document is expected in
     the mix) and __copies (how often it is taken): the weight rounded up or down by the
@@ -97,13 +140,23 @@ def mix(
     of the tokens wanted over the tokens it has. A cell without tokens (NULL and empty
     texts only) has weight 0. Rows repeating an id draw alike. NULL sources and languages are
     values like any other. An empty table gives an empty one.
+
+    With `once` no weight is above 1, so no document is taken twice: targets are cut to what
+    a value has (see `reachable`) and raking keeps to what a cell has. `marginals` tells what
+    was wanted, what can be had and what is delivered.
     """
     marked = docs.withColumns({"__topic": topic_of(F.col(text)) if topic is None else topic, "__tokens": tokens(F.col(text))})
     rows = marked.select("source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"))
     cells = stored(cells_of(rows), "sums")
-    fitted = rake(cells, {d: tempered(cells, d, powers[d]) for d in DIMENSIONS}, rounds)
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    weight = F.coalesce(F.col("w") * (token_share * total) / F.nullif(F.col("tokens"), F.lit(0.0)), F.lit(0.0))
+    if once:
+        targets = {d: reachable(cells, d, powers[d], token_share * total) for d in DIMENSIONS}
+        wanted = F.col("w")
+    else:
+        targets = {d: tempered(cells, d, powers[d]) for d in DIMENSIONS}
+        wanted = F.col("w") * (token_share * total)
+    fitted = rake(cells, targets, rounds, bounded=once)
+    weight = F.coalesce(wanted / F.nullif(F.col("tokens"), F.lit(0.0)), F.lit(0.0))
     weights = fitted.select(
         F.struct("source", "lang", "topic").alias("__cell"), weight.alias("__weight")
     )
@@ -113,11 +166,35 @@ def mix(
 
 
 def sampled(docs: DataFrame, **options) -> DataFrame:
-    """The documents taken at least once, each once, with their own columns."""
-    found = mix(docs, **options).where("__copies > 0")
+    """The documents taken, each at most once, with their own columns. Equal ids are taken
+    together or not at all, if they are of one cell."""
+    found = mix(docs, once=True, **options).where("__copies > 0")
     return found.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def marginals(
+    mixed: DataFrame, powers: Mapping[str, float] = POWERS, token_share: float = TOKEN_SHARE
+) -> DataFrame:
+    """What `mix` delivers: dimension, value, and the tokens wanted, reachable (no document
+    twice), expected (by weights) and taken (by copies)."""
+    tokens_of = F.col("__tokens")
+    rows = stored(
+        mixed.groupBy("source", "lang", F.col("__topic").alias("topic")).agg(
+            F.sum("__tokens").cast("double").alias("tokens"), F.sum(tokens_of * F.col("__weight")).alias("expected"),
+            F.sum(tokens_of * F.col("__copies")).cast("double").alias("taken"),
+        ),
+        "marginals",
+    )
+    goal, parts = token_share * (rows.agg(F.sum("tokens")).first()[0] or 0.0), []
+    for d in DIMENSIONS:
+        sums = rows.groupBy(d).agg(F.sum("expected").alias("expected"), F.sum("taken").alias("taken"))
+        wanted = tempered(rows, d, powers[d]).select(F.col(d).alias("value"), (F.col("target") * goal).alias("wanted"))
+        most = reachable(rows, d, powers[d], goal).select(F.col(d).alias("__value"), F.col("target").alias("reachable"))
+        met = wanted.join(most, wanted["value"].eqNullSafe(most["__value"])).join(sums, F.col("value").eqNullSafe(sums[d]))
+        parts.append(met.select(F.lit(d).alias("dimension"), "value", "wanted", "reachable", "expected", "taken"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def oracle(documents: str = "documents", rounds: int = ROUNDS) -> str:
     """The registered query in DuckDB's SQL; one statement per scaling."""
     text = f"""
