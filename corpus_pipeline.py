@@ -31,8 +31,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled towards the weights of sources, languages and topics, each once:
-    what a weight above 1 asks for beyond that is not delivered."""
+    """Documents sampled towards the weights of sources, languages and topics, each at most
+    once: what a value cannot deliver that way is raked to the others."""
     return mixing.sampled(docs)
 
 
