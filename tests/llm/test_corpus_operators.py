@@ -158,6 +158,14 @@ def test_raking_meets_the_marginals(spark):
     assert rows.groupby("source")["w"].sum().tolist() == pytest.approx([1 / 20] * 20, rel=0.05)
 
 
+def test_few_and_many_cells_rake_alike(spark, monkeypatch):
+    docs = table(spark, TINY, "documents")
+    here = {r["doc_id"]: r["__weight"] for r in mixing.mix(docs, once=True).collect()}
+    monkeypatch.setattr(mixing, "FEW_CELLS", 1)
+    there = {r["doc_id"]: r["__weight"] for r in mixing.mix(docs, once=True).collect()}
+    assert here == pytest.approx(there, abs=1e-9) and max(here.values()) == 1.0
+
+
 def test_mix_of_messy_rows(messy, nothing):
     found = mixing.mix(messy.drop("topic")).collect()
     assert len(found) == messy.count()

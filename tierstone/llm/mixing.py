@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
 ROUNDS = 12
 #: Raking with bounds goes on until no cell's share moves by more in a round, or so many rounds.
 SETTLED, MOST_ROUNDS = 5e-4, 100
+#: So many cells at most are raked with bounds on the driver, more of them as Spark jobs.
+FEW_CELLS = 10_000
 #: Tokens to sample, as a share of all tokens.
 TOKEN_SHARE = 0.6
 
@@ -121,6 +124,33 @@ def rake(
     return now.select(*cells.columns, "w")
 
 
+def rake_few(tokens: np.ndarray, codes: Sequence[np.ndarray], powers: Sequence[float], wanted: float) -> np.ndarray:
+    """`reachable` and the bounded `rake` over arrays: tokens of each cell, and for each
+    dimension the number of the cell's value."""
+    goals = []
+    for code, power in zip(codes, powers, strict=True):
+        has = np.bincount(code, tokens)
+        lifted, level, full = np.where(has > 0, has**power, 0.0), 0.0, np.zeros(len(has), bool)
+        while lifted[~full].any():
+            level = (wanted - has[full].sum()) / lifted[~full].sum()
+            over = (lifted * level >= has) & (has > 0)
+            if (over == full).all():
+                break
+            full = over
+        goals.append(np.minimum(has, lifted * level))
+    w, share_of = tokens.copy(), lambda a, b: np.divide(a, b, out=np.zeros_like(a), where=b != 0)
+    for _ in range(MOST_ROUNDS):
+        was = w
+        for code, goal in zip(codes, goals, strict=True):
+            held = w >= tokens
+            total, filled = np.bincount(code, w), np.bincount(code, w * held)
+            raised = np.where(held, tokens, np.minimum(tokens, w * share_of(goal - filled, total - filled)[code]))
+            w = np.where((goal > total)[code], raised, w * share_of(goal, total)[code])
+        if (np.abs(w - was) <= SETTLED * tokens).all():
+            break
+    return w
+
+
 def draw(doc_id: Column) -> Column:
     """A number in [0, 1) that is a hash of the id; NULL draws like the empty text."""
     text = F.concat(F.lit("mix/"), F.coalesce(doc_id.cast("string"), F.lit("")))
@@ -149,15 +179,22 @@ def mix(
     rows = marked.select("source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"))
     cells = stored(cells_of(rows), "sums")
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    if once:
+    few = cells.limit(FEW_CELLS + 1).collect() if once else []
+    if once and 0 < len(few) <= FEW_CELLS:
+        numbers = ({v: i for i, v in enumerate({r[d] for r in few})} for d in DIMENSIONS)
+        codes = [np.array([of[r[d]] for r in few]) for d, of in zip(DIMENSIONS, numbers, strict=True)]
+        sums = np.array([r["tokens"] for r in few], float)
+        w = rake_few(sums, codes, [powers[d] for d in DIMENSIONS], token_share * total)
+        schema = cells.schema.add("w", "double")
+        raked = docs.sparkSession.createDataFrame([(*r, x) for r, x in zip(few, w.tolist(), strict=True)], schema)
+    elif once:
         targets = {d: reachable(cells, d, powers[d], token_share * total) for d in DIMENSIONS}
-        wanted = F.col("w")
+        raked = rake(cells, targets, rounds, bounded=True)
     else:
-        targets = {d: tempered(cells, d, powers[d]) for d in DIMENSIONS}
-        wanted = F.col("w") * (token_share * total)
-    fitted = rake(cells, targets, rounds, bounded=once)
+        raked = rake(cells, {d: tempered(cells, d, powers[d]) for d in DIMENSIONS}, rounds)
+    wanted = F.col("w") if once else F.col("w") * (token_share * total)
     weight = F.coalesce(wanted / F.nullif(F.col("tokens"), F.lit(0.0)), F.lit(0.0))
-    weights = fitted.select(
+    weights = raked.select(
         F.struct("source", "lang", "topic").alias("__cell"), weight.alias("__weight")
     )
     cell = F.struct(F.col("source"), F.col("lang"), F.col("__topic").alias("topic"))
