@@ -163,7 +163,8 @@ def test_few_and_many_cells_rake_alike(spark, monkeypatch):
     here = {r["doc_id"]: r["__weight"] for r in mixing.mix(docs, once=True).collect()}
     monkeypatch.setattr(mixing, "FEW_CELLS", 1)
     there = {r["doc_id"]: r["__weight"] for r in mixing.mix(docs, once=True).collect()}
-    assert here == pytest.approx(there, abs=1e-9) and max(here.values()) == 1.0
+    # Rounding decides when a cell is full, so both are as near as shares settle.
+    assert here == pytest.approx(there, abs=mixing.SETTLED) and max(here.values()) == 1.0
 
 
 def test_mix_of_messy_rows(messy, nothing):

@@ -179,7 +179,7 @@ def mix(
     rows = marked.select("source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"))
     cells = stored(cells_of(rows), "sums")
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    few = cells.limit(FEW_CELLS + 1).collect() if once else []
+    few = sorted(cells.limit(FEW_CELLS + 1).collect(), key=repr) if once else []
     if once and 0 < len(few) <= FEW_CELLS:
         numbers = ({v: i for i, v in enumerate({r[d] for r in few})} for d in DIMENSIONS)
         codes = [np.array([of[r[d]] for r in few]) for d, of in zip(DIMENSIONS, numbers, strict=True)]
