@@ -46,6 +46,10 @@ class LoadHistory:
             raise ValueError(f"load {load_id} is already complete")
         df.write.mode("overwrite").parquet(self._load_path(load_id))
         rows = self.spark.read.parquet(self._load_path(load_id)).count()
+        self._complete(load_id, loaded_at, operation, rows)
+        return rows
+
+    def _complete(self, load_id: int, loaded_at: datetime, operation: str, rows: int) -> None:
         entry = self.spark.range(1).select(
             F.lit(load_id).cast("long").alias("load_id"),
             F.lit(loaded_at.isoformat(" ")).cast("timestamp").alias("loaded_at"),
@@ -53,7 +57,6 @@ class LoadHistory:
             F.lit(rows).cast("long").alias("row_count"),
         )
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/_log")
-        return rows
 
     def add_increment(
         self,
@@ -70,12 +73,16 @@ class LoadHistory:
         return self.add(upsert(current, changed, keys, newest_by), load_id, loaded_at, "upsert")
 
     def _is_logged(self, load_id: int) -> bool:
+        return self._has_log() and not self.log().where(F.col("load_id") == load_id).isEmpty()
+
+    def _has_log(self) -> bool:
         try:
-            return not self.log().where(F.col("load_id") == load_id).isEmpty()
+            self.log()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":  # no log yet
                 return False
             raise
+        return True
 
     def log(self) -> DataFrame:
         """Commit time, number, operation and size of every load."""

@@ -215,6 +215,19 @@ def _gate(table: str, relation: str, unique: str | None, required: list[str]) ->
     )
 
 
+def _content() -> str:
+    texts = []
+    for name, contract in CONTRACTS.items():
+        part, relation = contract.partitioning, _COUNTS[name]
+        by_day = part is not None and part.transform == "day"
+        day = f"CAST({part.source} AS DATE)" if by_day else "CAST(NULL AS DATE)"
+        texts.append(
+            f"SELECT '{name}' AS t, {day} AS day, count(*) AS n_one, count(*) AS n_other, true AS agrees"
+            f" FROM {relation} GROUP BY {day} HAVING count(*) > 0"
+        )
+    return " UNION ALL ".join(texts)
+
+
 def _layouts() -> str:
     """The declared columns, and the folders and rows that follow from the sources."""
     folders = {
@@ -420,6 +433,11 @@ _SELECTS = {
         UNION ALL SELECT 'bronze.purchases', 'not_empty', 0, count(*) > 0 FROM purchases
         UNION ALL SELECT 'bronze.purchases', 'id_unique', 0, true FROM (SELECT count(*) FROM part)""",
     "as_of_load": "SELECT * FROM items",
+    "interval_history": """
+        SELECT *, CAST(1 AS BIGINT) AS load_id FROM items UNION ALL SELECT *, 2 FROM upserted
+        UNION ALL SELECT *, 3 FROM items WHERE id % 4 <> 1 UNION ALL SELECT *, 4 FROM upserted""",
+    "activity_merged": "SELECT * FROM segments",
+    "content_parity": _content(),
     "load_log": """
         SELECT CAST(1 AS BIGINT) AS load_id, TIMESTAMP '2024-01-01' AS loaded_at,
                'overwrite' AS operation, count(*) AS row_count FROM items

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from tierstone.contracts import CONTRACTS, PRICE
 from tierstone.functions import shop
 from tierstone.operators.latest import upsert
-from tierstone.plans import bronze, gold, history, incremental, quality, refresh, reports, silver
+from tierstone.plans import activity, bronze, gold, history, incremental, parity, quality, refresh, reports, silver
+from tierstone.plans.validity import IntervalHistory
 from tierstone.scratch import listing_of, new_folder
 from tierstone.session import apply_runtime_settings
 from tierstone.sinks.csv import export_csv, read_export
@@ -503,9 +504,33 @@ def count_parity(spark, sf_dir):
     return reports.count_parity({name: store.read(name) for name in CONTRACTS}, files)
 
 
+@query
+def content_parity(spark, sf_dir):
+    """Every stored table's content through the catalog and straight from its files, compared
+    by fingerprints per day (tables without days: as a whole)."""
+    store = _refreshed(spark, sf_dir)
+    found = []
+    for name, contract in CONTRACTS.items():
+        part = contract.partitioning
+        day = part.expression() if part and part.transform == "day" else None
+        files = spark.read.parquet(store.location(name))
+        found.append(parity.content_parity(name, store.read(name), files, day))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- extensions -------------------------------------------------------------------------------
 
 
+@query
+def activity_merged(spark, sf_dir):
+    """Segments from activity kept as day bits: states of two halves of the views that have
+    days and users in common, merged."""
+    views = _views(spark, sf_dir).where(F.col("received_at") <= F.lit(AS_OF.isoformat(" ")).cast("timestamp"))
+    half = F.pmod(F.xxhash64("url", "received_at"), F.lit(2)) == 0
+    one, other = (activity.states(views.where(side)) for side in (half, ~half))
+    return gold.segments_of(silver_users(spark, sf_dir), activity.visits_of(activity.merged(one, other)), AS_OF)
+
+
 @query
 def hourly_exact(spark, sf_dir):
     return gold.hourly_revenue(_sales(spark, sf_dir), 24, AS_OF)
@@ -762,6 +787,24 @@ def as_of_load(spark, sf_dir):
     return _item_history(spark, sf_dir).as_of(datetime(2024, 1, 1, 12))
 
 
+@query
+def interval_history(spark, sf_dir):
+    """Items after each of four loads (whole, delivery, whole with rows missing, whole), read
+    as of a moment after it from validity intervals."""
+    first = bronze_items(spark, sf_dir)
+    path = os.path.join(new_folder(spark, "intervals"), "items")
+    loads = IntervalHistory(spark, path, CONTRACTS["bronze.items"].schema)
+    loads.add(first, 1, datetime(2024, 1, 1))
+    loads.add_increment(_delivery(first), ["id"], ["updated_at"], 2, datetime(2024, 1, 2))
+    delivered = loads.version(2)
+    loads.add(first.where("id % 4 <> 1"), 3, datetime(2024, 1, 3))
+    loads.add(delivered, 4, datetime(2024, 1, 4))
+    return reduce(
+        DataFrame.unionByName,
+        (loads.as_of(datetime(2024, 1, n, 12)).withColumn("load_id", F.lit(n).cast("long")) for n in (1, 2, 3, 4)),
+    )
+
+
 @query
 def load_log(spark, sf_dir):
     """Commit time, operation and size of both loads."""
