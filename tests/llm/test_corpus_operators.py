@@ -437,3 +437,27 @@ def test_a_broad_vocabulary_of_rare_terms_is_learned(spark):
     found = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r["predicted"] for r in found if r["toxic"]]) > 0.9
     assert np.mean([r["predicted"] for r in found if not r["toxic"]]) < 0.1
+
+
+def test_an_id_repeated_in_a_third_of_the_rows_is_one_of_the_sample(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat('some words ', id) AS text")
+    again = spark.range(200).selectExpr("7L AS doc_id", "concat('other words ', id % 150) AS text")
+    labels = spark.range(400).selectExpr("id AS doc_id", "int(id % 10 = 7) AS toxic")
+    drawn, toxic, clean = toxicity.labelled_sample(
+        docs.unionByName(again), labels.unionByName(labels), "doc_id", "text", "toxic", 3000)
+    assert (drawn.count(), toxic, clean) == (400, 20, 180)
+    assert drawn.where("toxic = 1").count() == 40
+    none = toxicity.labelled_sample(docs, labels.where("toxic = 0"), "doc_id", "text", "toxic", 3000)
+    assert none == (None, 0, 0)
+
+
+def test_context_words_and_terms_have_no_upper_limit(spark):
+    """More terms and context words than the model once kept are all there."""
+    many = 5200
+    rows = spark.range(3 * many).selectExpr(
+        f"concat('before', id, ' ', 'term', lpad(id % {many}, 6, 'q'), ' after', id) AS text", "1 AS toxic")
+    lexicon = toxicity.learn_lexicon(rows, 3 * many, 10**7)
+    assert sum(t.startswith("term") for t in lexicon.terms) == many
+    near = spark.range(6 * 2500).selectExpr("concat('c', id % 2500, ' badword') AS text", "int(id % 3 = 0) AS toxic")
+    context = toxicity._context_weights(near, toxicity.Model(toxicity.Lexicon({"badword": 1.0})))
+    assert len(context) == 2500

@@ -23,13 +23,13 @@ from tierstone.llm.common import fold, in_batches, python_values, share, small_b
 
 #: About so many labelled documents of each label are learned from.
 SAMPLE_DOCUMENTS = 3000
-#: The strongest terms that the lexicon keeps.
-MAX_TERMS = 5000
 #: A term is met in so many different surroundings in toxic documents at least, and is so
 #: many times (log) likelier there.
 LEAST_CONTEXTS, LEAST_LOG_ODDS = 3, 2.5
 #: Of the terms let in by their evidence, chance would have made so large a share at most.
 CHANCE_SHARE = 0.1
+#: A context word is met in so many sampled documents at least.
+LEAST_CONTEXT_DOCUMENTS = 5
 #: One edit is allowed in terms of five letters, two in terms of ten.
 EDITS_BY_LENGTH = ((10, 2), (5, 1), (0, 0))
 WINDOW = 5
@@ -210,7 +210,7 @@ def _quoted(words: list[str]) -> list[bool]:
 _WORDS = pa.schema([("word", pa.string()), ("toxic", pa.int32()), ("around", pa.int64())])
 
 
-def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX_TERMS) -> Lexicon:
+def learn_lexicon(drawn: DataFrame, toxic: int, clean: int) -> Lexicon:
     """Terms far commoner in toxic documents, from rows (text, toxic).
 
     Support counts different surroundings (the words before and after), not documents:
@@ -249,11 +249,8 @@ def learn_lexicon(drawn: DataFrame, toxic: int, clean: int, max_terms: int = MAX
     pairs = counted.groupBy("around", "around_clean").count().toPandas()
     t, c = F.col("around").cast("double"), F.col("around_clean").cast("double")
     enough = _likelier(t, c, toxic, clean) & (_evidence(t, c, toxic, clean, F) >= _least_evidence(pairs, toxic, clean))
-    found = (
-        counted.where((F.col("around") >= LEAST_CONTEXTS) & ((F.col("odds") >= LEAST_LOG_ODDS) | enough))
-        .orderBy(F.desc(F.col("odds") * F.col("around")), "word")
-        .limit(max_terms)
-    )
+    # All of them: the sample bounds how many words there are.
+    found = counted.where((F.col("around") >= LEAST_CONTEXTS) & ((F.col("odds") >= LEAST_LOG_ODDS) | enough))
     return Lexicon({r["word"]: float(r["odds"]) for r in found.collect()})
 
 
@@ -304,29 +301,48 @@ def hash_of(before: str, after: str) -> int:
     return zlib.crc32(f"{before}\0{after}".encode("utf-8", "replace"))
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic", sample: int = SAMPLE_DOCUMENTS) -> Model:
-    """Learn from documents that have a label of 0 or 1; ids only join the two tables.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int
+) -> tuple[DataFrame | None, int, int]:
+    """Rows (text, toxic, first) of about `sample` labelled ids of each label, `first` marking
+    one half of the ids, and how many ids of each label a half has; no rows without labels
+    of both kinds.
 
-    About `sample` labelled ids of each label are drawn by a hash and sent to the tasks,
-    which filter the documents by them: no text is shuffled. One half of the sample
-    makes the lexicon, the other half the context and feature weights, so that these
-    see terms as new texts have them. Without labels of both kinds, or without terms,
-    nothing is learned and every score is one half or less.
+    Ids are drawn by a hash and sent to the tasks, which filter the documents by them. An id
+    gives one row however often it is repeated: of different texts the one with the least
+    hash. So the sample is bounded whatever the tables hold; it is written once and read by
+    each step of the training.
     """
-    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
     known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max(F.col(label)).alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
-    model = Model(Lexicon({}), bias=-1.0)
     if not counts.get(0) or not counts.get(1):
-        return model
+        return None, 0, 0
     rate = F.when(F.col("toxic") == 1, sample / counts[1]).otherwise(sample / counts[0])
+    # Bounded by twice the sample size.
     ids = known.where(share(F.col("id")) < rate).select("id", F.col("toxic").cast("int"))
-    # Bounded by twice the sample size, whatever the tables hold.
     rows = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    drawn = rows.join(F.broadcast(ids), "id").select("text", "toxic", (share(F.col("id"), F.lit("half")) < 0.5).alias("first"))
+    first = share(F.col("id"), F.lit("half")) < 0.5
+    one = rows.join(F.broadcast(ids), "id").groupBy("id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    drawn = stored(one.select("text", "toxic", first.alias("first")), "sample")
     toxic, clean = (min(sample, counts[k]) // 2 for k in (1, 0))
+    return drawn, toxic, clean
+
+
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+          label: str = "toxic", sample: int = SAMPLE_DOCUMENTS) -> Model:
+    """Learn from documents that have a label of 0 or 1; ids only join the two tables.
+
+    See `labelled_sample` for what is learned from. One half of the sample makes the lexicon,
+    the other half the context and feature weights, so that these see terms as new texts
+    have them. Without labels of both kinds, or without terms, nothing is learned and every
+    score is one half or less.
+    """
+    small_batches(docs.sparkSession)
+    drawn, toxic, clean = labelled_sample(docs, labels, doc_id, text, label, sample)
+    model = Model(Lexicon({}), bias=-1.0)
+    if drawn is None:
+        return model
     model = Model(learn_lexicon(drawn.where("first").select("text", "toxic"), toxic, clean), bias=-1.0)
     if model.lexicon.terms:
         other = drawn.where("NOT first").select("text", "toxic")
@@ -335,8 +351,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return model
 
 
-def _context_weights(drawn: DataFrame, model: Model, most: int = 2000) -> dict[str, float]:
-    """Log odds of words around matches in toxic against clean documents; the commonest."""
+def _context_weights(drawn: DataFrame, model: Model) -> dict[str, float]:
+    """Log odds of words around matches in toxic against clean documents, of every word that
+    the sample has there in LEAST_CONTEXT_DOCUMENTS or more."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for text, label in python_values(batches):
@@ -358,7 +375,7 @@ def _context_weights(drawn: DataFrame, model: Model, most: int = 2000) -> dict[s
     )
     totals = counted.agg(F.sum("t"), F.sum("c")).first()
     t, c = (float(x or 0) + 1.0 for x in totals)
-    rows = counted.where(F.col("t") + F.col("c") >= 5).orderBy(F.desc(F.col("t") + F.col("c")), "word").limit(most)
+    rows = counted.where(F.col("t") + F.col("c") >= LEAST_CONTEXT_DOCUMENTS)
     # Five pseudo-counts pull rare words to zero.
     return {r["word"]: math.log((r["t"] + 5 * t / (t + c)) / (r["c"] + 5 * c / (t + c)) * c / t) for r in rows.collect()}
 
