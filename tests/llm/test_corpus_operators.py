@@ -454,9 +454,9 @@ def test_an_id_repeated_in_a_third_of_the_rows_is_one_of_the_sample(spark):
 def test_context_words_and_terms_have_no_upper_limit(spark):
     """More terms and context words than the model once kept are all there."""
     many = 5200
-    rows = spark.range(3 * many).selectExpr(
+    rows = spark.range(5 * many).selectExpr(
         f"concat('before', id, ' ', 'term', lpad(id % {many}, 6, 'q'), ' after', id) AS text", "1 AS toxic")
-    lexicon = toxicity.learn_lexicon(rows, 3 * many, 10**7)
+    lexicon = toxicity.learn_lexicon(rows, 5 * many, 10**7)
     assert sum(t.startswith("term") for t in lexicon.terms) == many
     near = spark.range(6 * 2500).selectExpr("concat('c', id % 2500, ' badword') AS text", "int(id % 3 = 0) AS toxic")
     context = toxicity._context_weights(near, toxicity.Model(toxicity.Lexicon({"badword": 1.0})))
