@@ -95,6 +95,14 @@ def test_salted_lookups_join_twice_and_find_hot_keys_before(spark, settings, tmp
     assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
 
 
+def test_lookups_shuffle_no_derived_columns(spark, no_broadcast):
+    facts = bronze.purchases(shop_tables.purchases(spark, TINY))
+    users, items = bronze.users(shop_tables.users(spark, TINY)), bronze.items(shop_tables.items(spark, TINY))
+    plan = final_plan(silver.purchases_enriched(facts, users, items))
+    below_join = plan[plan.index("SortMergeJoin"):].split("Initial Plan")[0]
+    assert not any(name in below_join for name in ("total_price", "purchase_date", "purchase_hour"))
+
+
 def test_channel_counts_read_no_json(spark):
     counted = reports.channel_counts(bronze.pageviews(shop_tables.clicks(spark, TINY, whole=False)))
     plan = final_plan(counted)

@@ -54,15 +54,16 @@ def purchases_enriched(
     """Every purchase, labelled. Labels come from bronze, so categories keep their
     source spelling here; purchases of unknown users or items stay, unlabelled.
 
-    With `salts` > 1, hot users and hot items are found in one pass over the bronze
-    purchases, before either lookup."""
+    What follows from the row itself is added after the lookups, so that their shuffles
+    do not carry it. With `salts` > 1, hot users and hot items are found in one pass over
+    the bronze purchases, before either lookup."""
     hot = hot_keys(bronze_purchases, ["user_id", "item_id"]) if salts > 1 else {}
     with_buyer = lookup(
-        priced(bronze_purchases), bronze_users, "user_id", "id", {"email": "user_email"},
+        bronze_purchases, bronze_users, "user_id", "id", {"email": "user_email"},
         salts, hot.get("user_id"),
     )
     labelled = _item_labels(with_buyer, bronze_items, salts, hot.get("item_id"))
-    return labelled.select(*CONTRACTS["silver.purchases_enriched"].columns)
+    return priced(labelled).select(*CONTRACTS["silver.purchases_enriched"].columns)
 
 
 def item_views(bronze_pageviews: DataFrame, *more: str) -> DataFrame:
