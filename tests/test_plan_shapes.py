@@ -103,6 +103,13 @@ def test_lookups_shuffle_no_derived_columns(spark, no_broadcast):
     assert not any(name in below_join for name in ("total_price", "purchase_date", "purchase_hour"))
 
 
+def test_a_regrouped_table_is_written_by_several_tasks(spark):
+    """Although all of it would fit one partition of the advisory size."""
+    rows = spark.range(2_000_000).selectExpr("id % 31 AS day", "xxhash64(id) AS x").hint("rebalance", "day")
+    tasks = rows.selectExpr("spark_partition_id() AS p", "x").groupBy("p").agg({"x": "max"})
+    assert len(tasks.collect()) > 1
+
+
 def test_channel_counts_read_no_json(spark):
     counted = reports.channel_counts(bronze.pageviews(shop_tables.clicks(spark, TINY, whole=False)))
     plan = final_plan(counted)

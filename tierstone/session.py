@@ -14,10 +14,12 @@ RUNTIME_SETTINGS = {
     # Files are compressed: count their rows at three times the file size when
     # judging whether a dimension is small enough to broadcast.
     "spark.sql.sources.fileCompressionFactor": "3.0",
-    # Merge small shuffle partitions up to the advisory size, not merely down to
-    # the number of cores: a large cluster would write thousands of tiny files.
+    # Merge small shuffle partitions up to the advisory size, but leave each core one: a
+    # table that compresses well would else be written by a single task. None is
+    # smaller than 4 MB, so a large cluster does not write thousands of tiny files.
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4m",
     # Hot join keys are split at run time, also where the split costs one more
     # exchange: a third of the rows in one task costs far more.
     "spark.sql.adaptive.skewJoin.enabled": "true",
