@@ -259,3 +259,21 @@ def test_a_backfill_opens_folders_between_both_bounds(spark, store, shop):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     pruned = plan[plan.index("PartitionFilters") :].split("]")[0]
     assert "2024-01-09" in pruned.replace("19731", "2024-01-09") and "<=" in pruned and ">=" in pruned
+
+
+def test_staged_folders_are_published_without_another_shuffle(spark, store, monkeypatch):
+    store.create("bronze.items")
+    row = lambda n, kind: (n, f"i{n}", kind, Decimal("1.00"), 1, AS_OF, AS_OF)
+    schema = CONTRACTS["bronze.items"].schema
+    store.overwrite(spark.createDataFrame([row(1, "a"), row(2, "b"), row(3, "c")], schema), "bronze.items")
+    plans, publish = [], LayerStore._replace_folders
+
+    def watched(self, rows, table):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        publish(self, rows, table)
+
+    monkeypatch.setattr(LayerStore, "_replace_folders", watched)
+    store.upsert(spark.createDataFrame([row(1, "b"), row(4, "d")], schema), "bronze.items", ["id"], ["updated_at"])
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    found = {(r["id"], r["category"]) for r in store.read("bronze.items").collect()}
+    assert found == {(1, "b"), (2, "b"), (3, "c"), (4, "d")}

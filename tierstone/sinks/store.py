@@ -172,8 +172,12 @@ class LayerStore:
             rows.write.insertInto(table, overwrite=True)
 
     def _publish(self, rows: DataFrame, table: str, column: str, values: Sequence) -> None:
-        """Overwrite the folders that get rows, and drop those of `values` that get none."""
-        self._replace_folders(rows.hint("rebalance", column), table)
+        """Overwrite the folders that get rows, and drop those of `values` that get none.
+
+        `rows` are read from where they were staged, laid out by folder: they are copied
+        file by file, by as many tasks as there are cores, and not regrouped once more.
+        """
+        self._replace_folders(rows, table)
         filled = {row[0] for row in rows.select(column).distinct().collect()}
         for value in set(values) - filled:
             self._drop_folder(table, column, value)
