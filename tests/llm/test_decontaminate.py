@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 import pytest
 from llm_data import TINY, messy, nothing, prose  # noqa: F401
 
@@ -84,3 +85,40 @@ def test_proximity(spark):
     assert sorted(map(tuple, found)) == [(1, "Red fox", 1, 3), (2, "Red fox", 0, 2)]
     exact = decontaminate.proximity(index, ["red fox"], slack=0).collect()
     assert [tuple(r) for r in exact] == [(2, "red fox", 0, 2)]
+
+
+def large(spark):
+    """5 MB of text in one partition, in documents of 300 words and one of 20,000."""
+    texts = [prose(seed, 300) for seed in range(40)]
+    rows = [(n, texts[n % 40]) for n in range(2200)] + [(9999, prose(41, 20000)), (None, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+
+def test_rows_and_batches_of_the_index_are_short(spark):
+    """A row held 4 MB of text, and a batch 256 rows."""
+    docs = large(spark)
+    text_bytes = docs.selectExpr("sum(octet_length(text))").first()[0]
+    assert text_bytes > decontaminate.SEGMENT_BYTES
+    index = decontaminate.build_index(docs)
+    decontaminate.search(index, spark.createDataFrame([(1, "one")], "item_id long, text string"))
+
+    def sizes(batches):
+        for batch in batches:
+            rows = [batch.slice(n, 1).nbytes for n in range(batch.num_rows)]
+            yield pa.RecordBatch.from_pydict({"batch": [batch.nbytes], "row": [max(rows)]})
+
+    found = index.mapInArrow(sizes, "batch long, row long").collect()
+    assert max(r["row"] for r in found) < 1 << 20
+    assert max(r["batch"] for r in found) < 5 << 20
+
+
+def test_rows_that_make_a_segment_are_searched_as_one(spark):
+    docs = large(spark)
+    asked = [(1, prose(3, 300)[100:300]), (2, prose(41, 20000)[9000:9300]), (3, prose(5, 300)[-60:] + " " + prose(6, 300)[:60])]
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    found = decontaminate.contamination(docs, items)
+    by_text = {t: slow(t, asked) for t in {r["text"] for r in docs.select("text").distinct().collect()}}
+    expected = [(r["doc_id"], *by_text[r["text"]]) for r in docs.select("doc_id", "text").collect()]
+    rows = found.select("doc_id", "n_words", "n_hit", "item_ids", "contaminated").collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(expected, key=repr)
+    assert {"1", "2"} <= {i for r in rows for i in r["item_ids"]}

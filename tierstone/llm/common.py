@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,9 @@ from tierstone.scratch import new_folder
 #: Rows per Arrow batch where rows carry whole texts, so that a batch of long ones fits a worker.
 TEXT_BATCH_ROWS = 256
 
+#: Bytes per Arrow batch where a row is large; a batch has one row at least.
+BATCH_BYTES = 4 << 20
+
 
 def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> SparkSession:
     """Limit the rows Spark hands to a Python worker at once; never raises the limit."""
@@ -23,14 +27,24 @@ def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> SparkSess
     return spark
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read from there.
+def short_batches(spark: SparkSession, size: int = BATCH_BYTES) -> SparkSession:
+    """Limit the bytes Spark hands to a Python worker at once; never raises the limit."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    number, unit = re.fullmatch(r"(-?\d+)([bkmgtp]?)b?", (spark.conf.get(setting, None) or "-1").strip().lower()).groups()
+    set_now = int(number) << 10 * "bkmgtp".index(unit or "b")
+    if set_now <= 0 or set_now > size:
+        spark.conf.set(setting, str(size))
+    return spark
+
+
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """The rows written to the shared folder and read from there; options are the writer's.
 
     Cuts lineage: what comes after reads files every executor sees, so a lost
     executor costs its running tasks and nothing that was computed before.
     """
     path = f"{new_folder(df.sparkSession, label)}/rows"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,8 +1,9 @@
 """Benchmark passages in training documents, found through a positional inverted index.
 
-The index is kept in segments. A segment is one row: some documents, their words'
-positions by term, and where each document lies. It is self-contained, so a search
-reads each segment once, in parallel, and shuffles nothing.
+The index is kept in rows: some documents, their words' positions by term, and where
+each document lies. A row is self-contained, so a search reads each one once, in
+parallel, and shuffles nothing. Rows are short, as whatever reads or writes them holds
+several at a time; a search joins those that follow each other to a segment.
 """
 
 from __future__ import annotations
@@ -15,26 +16,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierstone.llm.common import in_batches, python_values, row_key, small_batches, stored
+from tierstone.llm.common import in_batches, python_values, row_key, short_batches, small_batches, stored
 
 WINDOW_WORDS = 13
 #: One part in twenty of the words hit makes a document contaminated.
 HIT_SHARE = 20
-#: Text bytes after which a segment is closed.
+#: Text bytes after which a segment, what is searched at once, is closed.
 SEGMENT_BYTES = 4 << 20
+#: Text bytes after which a row of the index is closed: as JVM objects rows stay under the
+#: size that takes memory regions of its own, and most positions fit two bytes.
+ROW_BYTES = 256 << 10
+#: What a document counts for besides its text: its keys and place.
+DOCUMENT_BYTES = 32
+#: Parquet keeps this much of the index in memory, writing and reading.
+STORED = {"parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "8"}
 #: Benchmark words searched for in one pass over the index; more take more passes.
 PASS_WORDS = 1_000_000
 
 _words = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
 
-SEGMENT = (
+INDEX_ROW = (
     "doc_ids array<long>, row_as array<long>, row_bs array<long>, starts binary, lengths binary, "
-    "terms array<binary>, counts array<int>, positions binary"
+    "terms binary, counts binary, positions binary, size long"
 )
-_SEGMENT = pa.schema(
+_INDEX_ROW = pa.schema(
     [("doc_ids", pa.list_(pa.int64())), ("row_as", pa.list_(pa.int64())), ("row_bs", pa.list_(pa.int64())),
-     ("starts", pa.binary()), ("lengths", pa.binary()), ("terms", pa.list_(pa.binary())),
-     ("counts", pa.list_(pa.int32())), ("positions", pa.binary())]
+     ("starts", pa.binary()), ("lengths", pa.binary()), ("terms", pa.binary()),
+     ("counts", pa.binary()), ("positions", pa.binary()), ("size", pa.int64())]
 )
 
 
@@ -43,9 +51,15 @@ def words(text: bytes | None) -> list[bytes]:
     return _words(text.lower()) if text else []
 
 
-def _segment(rows: list[tuple], texts: list[list[bytes]]) -> tuple:
-    """Post the words of some documents. Positions count through the segment, with a
-    gap after each document, so that no run of positions crosses from one to another."""
+def _kind(stretch: int) -> str:
+    """The smallest type for positions, and counts of them, below `stretch`."""
+    return "<u2" if stretch <= 1 << 16 else "<i4" if stretch <= 1 << 31 else "<i8"
+
+
+def _index_row(rows: list[tuple], texts: list[list[bytes]], size: int) -> tuple:
+    """Post the words of some documents. Positions count through the row, with a gap
+    after each document, so that no run of positions crosses from one to another.
+    Terms are joined by spaces, which no word has."""
     number: dict[bytes, int] = {}
     lengths = np.array([len(t) for t in texts], np.int64)
     starts = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
@@ -56,9 +70,10 @@ def _segment(rows: list[tuple], texts: list[list[bytes]]) -> tuple:
     order = np.argsort(terms, kind="stable")
     counts = np.bincount(terms, minlength=len(number))
     ids, row_as, row_bs = zip(*rows, strict=True)
+    kind = _kind(int(lengths.sum()) + len(lengths))
     return (
         ids, row_as, row_bs, starts.astype("<i8").tobytes(), lengths.astype("<i8").tobytes(),
-        list(number), counts.tolist(), places[order].astype("<i8" if len(places) >> 31 else "<i4").tobytes(),
+        b" ".join(number), counts.astype(kind).tobytes(), places[order].astype(kind).tobytes(), size,
     )
 
 
@@ -67,27 +82,29 @@ def build_index(
 ) -> DataFrame:
     """The positional index of every word of every document, written to the shared folder.
 
-    One pass over the texts, without a shuffle. A segment closes once its texts reach
-    `segment_bytes`, so its size is bounded by that and the longest document.
+    One pass over the texts, without a shuffle. A row closes once its texts reach
+    ROW_BYTES, or `segment_bytes` where that is less, so its size is bounded by that
+    and the longest document.
     """
     small_batches(docs.sparkSession)
+    row_bytes = min(segment_bytes, ROW_BYTES)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, texts, size = [], [], 0
         for ident, row_a, row_b, content in python_values(batches):
             rows.append((ident, row_a, row_b))
             texts.append(words(content))
-            size += len(content or b"")
-            if size >= segment_bytes:
-                yield from in_batches(iter([_segment(rows, texts)]), _SEGMENT)
+            size += len(content or b"") + DOCUMENT_BYTES
+            if size >= row_bytes:
+                yield from in_batches(iter([_index_row(rows, texts, size)]), _INDEX_ROW)
                 rows, texts, size = [], [], 0
         if rows:
-            yield from in_batches(iter([_segment(rows, texts)]), _SEGMENT)
+            yield from in_batches(iter([_index_row(rows, texts, size)]), _INDEX_ROW)
 
     keyed = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), *row_key(doc_id, text), F.col(text).cast("binary")
     )
-    return stored(keyed.mapInArrow(work, SEGMENT), "index")
+    return stored(keyed.mapInArrow(work, INDEX_ROW), "index", **STORED)
 
 
 def _item_windows(items: Sequence[tuple], window: int) -> dict[tuple[bytes, ...], set]:
@@ -115,21 +132,24 @@ def _occurrences(phrase: Sequence[bytes], lists: dict[bytes, np.ndarray]) -> np.
 
 
 class _Reader:
-    """A segment's lists of those terms that a search asks for."""
-
-    def __init__(self, row: tuple, asked: set[bytes]) -> None:
-        ids, row_as, row_bs, starts, lengths, terms, counts, positions = row
-        self.rows = list(zip(ids, row_as, row_bs, strict=True))
-        self.starts, self.lengths = np.frombuffer(starts, "<i8"), np.frombuffer(lengths, "<i8")
-        ends = np.cumsum(np.array(counts, np.int64))
-        total = int(ends[-1]) if len(ends) else 0
-        kind = "<i4" if total and len(positions) == 4 * total else "<i8"
-        flat = np.frombuffer(positions, kind)
-        self.lists = {
-            t: flat[ends[n] - counts[n] : ends[n]].astype(np.int64)
-            for n, t in enumerate(terms)
-            if t in asked
-        }
+    """A segment's documents, and its lists of those terms that a search asks for. The
+    positions of a row of the index go on where those of the row before it end."""
+
+    def __init__(self, rows: Sequence[tuple], asked: set[bytes]) -> None:
+        self.rows, starts, lengths, lists, before = [], [], [], {}, 0
+        for ids, row_as, row_bs, first, words_of, terms, counts, positions, _ in rows:
+            self.rows += zip(ids, row_as, row_bs, strict=True)
+            starts.append(np.frombuffer(first, "<i8") + before)
+            lengths.append(np.frombuffer(words_of, "<i8"))
+            stretch = int(lengths[-1].sum()) + len(lengths[-1])
+            counted = np.frombuffer(counts, _kind(stretch)).astype(np.int64)
+            flat, ends = np.frombuffer(positions, _kind(stretch)), np.cumsum(counted)
+            for n, t in enumerate(terms.split(b" ") if terms else ()):
+                if t in asked:
+                    lists.setdefault(t, []).append(flat[ends[n] - counted[n] : ends[n]].astype(np.int64) + before)
+            before += stretch
+        self.starts, self.lengths = np.concatenate(starts), np.concatenate(lengths)
+        self.lists = {t: np.concatenate(found) for t, found in lists.items()}
 
     def phrase(self, phrase: Sequence[bytes]) -> np.ndarray:
         return _occurrences(phrase, self.lists) if all(w in self.lists for w in phrase) else np.empty(0, np.int64)
@@ -138,6 +158,19 @@ class _Reader:
         return np.searchsorted(self.starts, positions, side="right") - 1
 
 
+def _segments(batches: Iterator[pa.RecordBatch], asked: set[bytes]) -> Iterator[_Reader]:
+    """Rows of the index as they come, as many at a time as make a segment."""
+    held, size = [], 0
+    for row in python_values(batches):
+        held.append(row)
+        size += row[-1]
+        if size >= SEGMENT_BYTES:
+            yield _Reader(held, asked)
+            held, size = [], 0
+    if held:
+        yield _Reader(held, asked)
+
+
 def _covered(reader: _Reader, windows: dict[tuple[bytes, ...], set]) -> Iterator[tuple]:
     """Per document of the segment that has a window: its number, the stretches of
     words hit (start, end, start, end, ...) from its first word, and the items."""
@@ -165,6 +198,7 @@ def _covered(reader: _Reader, windows: dict[tuple[bytes, ...], set]) -> Iterator
 
 
 def _one_pass(index: DataFrame, items: list[tuple], window: int) -> DataFrame:
+    short_batches(index.sparkSession)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row_a", pa.int64()), ("row_b", pa.int64()), ("n_words", pa.int64()),
          ("spans", pa.list_(pa.int64())), ("item_ids", pa.list_(pa.string()))]
@@ -175,8 +209,7 @@ def _one_pass(index: DataFrame, items: list[tuple], window: int) -> DataFrame:
         asked = {w for phrase in windows for w in phrase}
 
         def rows() -> Iterator[tuple]:
-            for segment in python_values(batches):
-                reader = _Reader(segment, asked)
+            for reader in _segments(batches, asked):
                 found = {doc: (spans, ids) for doc, spans, ids in _covered(reader, windows)}
                 for doc, (keys, length) in enumerate(zip(reader.rows, reader.lengths.tolist(), strict=True)):
                     spans, ids = found.get(doc, ([], ()))
@@ -281,13 +314,13 @@ def proximity(
         [("doc_id", pa.int64()), ("phrase", pa.string()), ("start", pa.int64()), ("stretch", pa.int64())]
     )
     asked_for = [(p, words(p.encode())) for p in phrases]
+    short_batches(index.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = {w for _, found in asked_for for w in found}
 
         def rows() -> Iterator[tuple]:
-            for segment in python_values(batches):
-                reader = _Reader(segment, asked)
+            for reader in _segments(batches, asked):
                 for name, wanted in asked_for:
                     for start, end in _near_occurrences(wanted, reader.lists, slack):
                         doc = int(reader.documents(np.array([start]))[0])
