@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from llm_data import TINY, messy, nothing  # noqa: F401
+from llm_data import TINY, messy, nothing, prose  # noqa: F401
 from test_simhash import slow_components, slow_fingerprint
 
 import __spark_entry__ as entry_point
@@ -54,6 +54,25 @@ def test_decontamination_stage(spark, stages):
     assert ids(stages[3]) == [i for i in ids(stages[2]) if i not in bad]
 
 
+def test_decontamination_keeps_an_index_of_short_rows(spark, tmp_path, monkeypatch):
+    """A row had the positions of 4 MB of text."""
+    texts = [prose(seed, 300) for seed in range(40)]
+    rows = [(n, texts[n % 40]) for n in range(2200)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    spark.createDataFrame([(1, texts[7])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = {}
+
+    def spy(df, label, **options):
+        kept[label] = stored(df, label, **options)
+        return kept[label]
+
+    monkeypatch.setattr(decontaminate, "stored", spy)
+    stay = corpus_pipeline.uncontaminated(spark, docs, str(tmp_path))
+    assert sorted(stay.where("doc_id IS NOT NULL").toPandas()["doc_id"]) == [n for n in range(2200) if n % 40 != 7]
+    assert stay.count() == 2200 - 55 + 1
+    assert kept["index"].selectExpr("max(octet_length(positions))").first()[0] < 512 << 10
+
+
 def test_mixing_stage(stages):
     """Each document once, and the marginals within 2 % of the targets that can be reached."""
     mixed = stored(mixing.mix(stages[3], once=True), "test-mixed")
